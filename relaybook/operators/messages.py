@@ -41,10 +41,16 @@ def keyless(messages: DataFrame, topic: str = "topic") -> DataFrame:
     )
 
 
-def fan_out(messages: DataFrame, copies: int = 1000) -> DataFrame:
-    """Each message ``copies`` times, keyed ``"0"``, ``"1"``, and so on."""
+def fan_out(messages: DataFrame, copies: int = 1000, tasks: int | None = None) -> DataFrame:
+    """Each message ``copies`` times, keyed ``"0"``, ``"1"``, and so on.
+
+    ``tasks`` spreads the messages first, which costs a fraction of the copies they become; use
+    it where the input has few splits.
+    """
     if copies < 1:
         raise ValueError("there must be at least one copy")
+    if tasks is not None:
+        messages = messages.repartition(tasks)
     number = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
     return messages.withColumn("key", number).withColumn("key", F.col("key").cast("string"))
 

@@ -38,10 +38,12 @@ def windowed_count(
     ``late`` sets a watermark, which a stream needs to close windows and forget them; its time
     column must then be a ``timestamp``.
     """
-    if late is not None:
-        rows = rows.withWatermark(ts, interval(late))
     window = F.window(ts, interval(width), interval(slide or width))
-    counted = rows.groupBy(window.alias("window"), *keys).agg(F.count("*").alias("n"))
+    if late is None:
+        return rows.groupBy(window["start"].alias("window_start"), *keys).agg(F.count("*").alias("n"))
+    # Only a group by the whole window keeps the watermark.
+    seen = rows.withWatermark(ts, interval(late)).groupBy(window.alias("window"), *keys)
+    counted = seen.agg(F.count("*").alias("n"))
     return counted.select(F.col("window.start").alias("window_start"), *keys, "n")
 
 
@@ -75,8 +77,11 @@ def fill_windows(counts: DataFrame, width: timedelta) -> DataFrame:
     """
     step = F.expr(f"interval {interval(width)}")
     chunk = F.expr(f"interval {interval(width * GRID_CHUNK)}")
-    # The counts are few next to the rows behind them, and both uses share one shuffle.
-    ends = counts.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
+    # Taking the ends from the same columns as the union lets both share one scan and shuffle.
+    pair = F.struct("window_start", "n")
+    ends = counts.agg(F.min(pair).alias("low"), F.max(pair).alias("high")).select(
+        F.col("low.window_start").alias("first"), F.col("high.window_start").alias("last")
+    )
     chunks = ends.where(F.col("first").isNotNull()).select(
         "last", F.explode(F.sequence("first", "last", chunk)).alias("chunk_start")
     )

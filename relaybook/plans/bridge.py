@@ -1,6 +1,6 @@
 """From landed device messages to the messages a Kafka sink takes.
 
-Each is a narrow DataFrame to DataFrame chain without a shuffle; pass the result to
+Each is a narrow DataFrame to DataFrame chain, without a shuffle unless asked for; pass the result to
 ``write_messages`` or ``start_messages``.
 """
 
@@ -34,7 +34,10 @@ def enveloped_bridge(landed: DataFrame, ts: Column | None = None) -> DataFrame:
     )
 
 
-def replay_bridge(landed: DataFrame, topic: str, copies: int = 1000) -> DataFrame:
+def replay_bridge(
+    landed: DataFrame, topic: str, copies: int = 1000, tasks: int | None = None
+) -> DataFrame:
     """Send each payload to one fixed topic many times over, under numbered keys."""
-    copied = landed.transform(with_text_payload).transform(to_topic, topic).transform(fan_out, copies)
+    payloads = landed.transform(with_text_payload).transform(to_topic, topic)
+    copied = payloads.select("topic", "payload").transform(fan_out, copies, tasks)
     return copied.select("topic", "key", F.col("payload").alias("value"))

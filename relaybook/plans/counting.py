@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from relaybook.operators.windows import window_start
 from relaybook.operators.words import values, words
@@ -15,6 +16,8 @@ from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments
 from relaybook.streaming.runs import each_batch
 
+BATCH_COUNT = StructType([StructField("n", LongType())])
+
 
 def count_words(
     messages: DataFrame, counters: Counters, checkpoint: str, *, row_key: str = "Counter",

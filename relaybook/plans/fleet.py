@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from relaybook.operators.vehicles import vehicle_messages
 from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.runs import each_batch
 from relaybook.streaming.sinks import write_messages
 
+SENT = StructType([StructField("topic", StringType()), StructField("value", StringType())])
+
 
 def feed_vehicles(
     lines: DataFrame, checkpoint: str, topic: str, *, servers: str | None = None,

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from relaybook.functions import decode_text
 from relaybook.operators.words import word_count
-from relaybook.plans import count_words
-from relaybook.plans.counting import count_ones, keep_totals, last_totals, totals_log
+from relaybook.plans import count_batches, count_words
+from relaybook.plans.counting import BATCH_COUNT, count_ones, keep_totals, last_totals, totals_log
 from relaybook.queries.fixtures import (
     chat_messages,
     document_messages,
@@ -17,9 +17,9 @@ from relaybook.queries.fixtures import (
     table_stream,
 )
 from relaybook.queries.registry import query, sql_words
-from relaybook.schemas import MESSAGE
 from relaybook.session import work_dir
 from relaybook.sources import read_messages
+from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments, wide_rows
 from relaybook.streaming.runs import finish
 
@@ -105,6 +105,21 @@ def counter_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.totals()
 
 
+@query("SELECT CAST((SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) AS BIGINT) AS n")
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages counted per micro-batch, summed up over a stream that was restarted."""
+    folder = work_dir(spark, "stream_batch_counts")
+    log = BatchLog(spark, f"{folder}/counts", BATCH_COUNT)
+    for landed in (
+        event_messages(table(spark, sf_dir, "events")),
+        chat_messages(table(spark, sf_dir, "conversations")),
+    ):
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
+        finish(count_batches(messages, log, f"{folder}/checkpoint"))
+    return log.read().agg(F.sum("n").alias("n"))
+
+
 @query(_CHATS_AND_EVENTS)
 def counter_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same totals kept in a stream's state, with every change logged."""

@@ -9,7 +9,8 @@ from relaybook.functions import decode_text, envelope, key_partition, open_envel
 from relaybook.operators.messages import retained, with_header, with_kafka_topic
 from relaybook.operators.placement import place, split_rejects
 from relaybook.operators.vehicles import VINS, vehicle_messages
-from relaybook.plans import bridge, enveloped_bridge, replay_bridge
+from relaybook.plans import bridge, enveloped_bridge, feed_vehicles, replay_bridge
+from relaybook.plans.fleet import SENT
 from relaybook.queries.fixtures import (
     chat_messages,
     device_topics,
@@ -21,6 +22,7 @@ from relaybook.queries.fixtures import (
 from relaybook.queries.registry import query
 from relaybook.session import work_dir
 from relaybook.sources import read_landed, read_messages
+from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.runs import finish
 from relaybook.streaming.sinks import start_messages, write_messages
 
@@ -157,7 +159,8 @@ def replay_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT count(*) AS n, CAST(sum(length(props)) AS BIGINT) AS chars FROM events), range(1000) AS r(k)""")
 def replay_fanout_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 1000 copies of every message, summed up per key."""
-    copies = replay_bridge(landed_events(table(spark, sf_dir, "events")), "replay")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copies = replay_bridge(landed_events(table(spark, sf_dir, "events")), "replay", tasks=tasks)
     return copies.groupBy("topic", "key").agg(
         F.count("*").alias("n"), F.sum(F.length("value")).alias("chars")
     )
@@ -175,6 +178,17 @@ def vehicle_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("event_id", "vin", "topic", "message")
 
 
+@query("SELECT 'test-topic' AS topic, props AS line, count(*) AS n FROM events GROUP BY props")
+def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed feed; the vehicle and the clock time are cut off again, as they vary."""
+    folder = work_dir(spark, "vehicle_feed")
+    log = BatchLog(spark, f"{folder}/sent", SENT)
+    lines = table_stream(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    finish(feed_vehicles(lines, f"{folder}/checkpoint", "test-topic", log=log, every=None))
+    line = F.regexp_extract("value", r"^1J9FN78S5VL1234(?:56|57|58) (.*)[0-9]{2}:[0-9]{2}:[0-9]{2}$", 1)
+    return log.read().groupBy("topic", line.alias("line")).agg(F.count("*").alias("n"))
+
+
 @query(f"""
     SELECT {_TOPIC} AS topic, arg_max(props, (ts, event_id)) AS payload, 0 AS qos
     FROM events GROUP BY ALL""")
