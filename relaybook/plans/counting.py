@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from relaybook.operators.windows import window_start
-from relaybook.operators.words import values, words
+from relaybook.operators.windows import windowed_count
+from relaybook.operators.words import values, word_count
 from relaybook.schemas import INCREMENT, TOTAL
 from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments
@@ -23,9 +23,17 @@ def count_words(
     messages: DataFrame, counters: Counters, checkpoint: str, *, row_key: str = "Counter",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Add the words of every micro-batch of messages to the counters of one row."""
-    ones = words(values(messages)).withColumn("n", F.lit(1).cast("bigint"))
-    return count_ones(increments(ones, "word", row_key), counters, checkpoint, every=every)
+    """Add the words of every micro-batch of messages to the counters of one row.
+
+    A batch hands over whole messages and is split here, so that splitting and counting are one
+    piece of generated code.
+    """
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.transform(values).transform(word_count)
+        counters.add(increments(counts, "word", row_key), batch_id)
+
+    return each_batch(messages.select("value"), count, checkpoint, every=every)
 
 
 def count_messages(
@@ -37,9 +45,13 @@ def count_messages(
     The counter's qualifier is the epoch millisecond the window starts at. No state is kept
     between batches, so there is no watermark and nothing is dropped.
     """
-    start = F.unix_millis(window_start(ts, width)).cast("string")
-    ones = messages.select(start.alias("window"), F.lit(1).cast("bigint").alias("n"))
-    return count_ones(increments(ones, "window", row_key), counters, checkpoint, every=every)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        counts = windowed_count(batch, ts, width)
+        start = F.unix_millis("window_start").cast("string")
+        counters.add(increments(counts.withColumn("start", start), "start", row_key), batch_id)
+
+    return each_batch(messages.select(ts), count, checkpoint, every=every)
 
 
 def count_ones(

@@ -175,6 +175,6 @@ def counter_wide_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of counters as maps, opened up again."""
     counts = word_count(table(spark, sf_dir, "conversations"), text="text")
     totals = increments(counts, "word").withColumnRenamed("delta", "value")
-    return wide_rows(totals, segments=64).select(
+    return wide_rows(totals, part_cells=1000).select(
         "row_key", F.explode("cells").alias("qualifier", "value")
     )

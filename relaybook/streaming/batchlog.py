@@ -50,10 +50,17 @@ class BatchLog:
         done.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/done/{spot}")
         return True
 
-    def last_done(self) -> dict[str, int]:
-        """The last done batch of each writer. There is one writer per checkpoint, so they are few."""
-        last = self._read("done", _DONE).groupBy("writer_id").agg(F.max("batch_id").alias("last"))
-        return {row["writer_id"]: row["last"] for row in last.collect()}
+    def last_done(self, after: dict[str, int] | None = None) -> dict[str, int]:
+        """The last done batch of each writer. There is one writer per checkpoint, so they are few.
+
+        What is known already can be given as ``after``; only later marks are then opened.
+        """
+        known = after or {}
+        done = self._read("done", _DONE)
+        for writer, last in known.items():
+            done = done.where((F.col("writer_id") != writer) | (F.col("batch_id") > last))
+        found = done.groupBy("writer_id").agg(F.max("batch_id").alias("last")).collect()
+        return {**known, **{row["writer_id"]: row["last"] for row in found}}
 
     def read(self, upto: dict[str, int] | None = None, after: dict[str, int] | None = None) -> DataFrame:
         """Rows of the done batches, or of those in a range; with ``writer_id`` and ``batch_id``.

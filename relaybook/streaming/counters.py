@@ -38,7 +38,7 @@ class Counters:
     def totals(self) -> DataFrame:
         """All counters as ``(row_key, qualifier, value)``."""
         as_of, covered = self._snapshot()
-        return self._totals(as_of, covered, self.log.last_done())
+        return self._totals(as_of, covered, self.log.last_done(covered))
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """The value of each distinct ``(row_key, qualifier)`` asked for, 0 where there is none.
@@ -52,13 +52,14 @@ class Counters:
     def compact(self) -> None:
         """Fold what is done so far into a snapshot. Run one at a time; writers may go on."""
         as_of, covered = self._snapshot()
-        last = self.log.last_done()
+        last = self.log.last_done(covered)
         self._publish(self._totals(as_of, covered, last), as_of + 1, last)
 
     def reset(self) -> None:
         """Start all counters from 0 again: an empty snapshot that covers what is done so far."""
-        as_of, _ = self._snapshot()
-        self._publish(self.spark.createDataFrame([], TOTAL), as_of + 1, self.log.last_done())
+        as_of, covered = self._snapshot()
+        last = self.log.last_done(covered)
+        self._publish(self.spark.createDataFrame([], TOTAL), as_of + 1, last)
 
     def _totals(self, as_of: int, covered: dict[str, int], last: dict[str, int]) -> DataFrame:
         changes = self.log.read(upto=last, after=covered)
@@ -87,17 +88,22 @@ class Counters:
         covered.coalesce(1).write.mode("overwrite").parquet(f"{folder}/covered/as_of={as_of}")
 
 
-def wide_rows(totals: DataFrame, segments: int = 1) -> DataFrame:
-    """Each row as maps of qualifier to value, in up to ``segments`` parts.
+def wide_rows(totals: DataFrame, part_cells: int = 100_000) -> DataFrame:
+    """Each row as a map of qualifier to value, in parts of about ``part_cells`` where it is wide.
 
-    A row key can hold any number of qualifiers; choose the segments so that one part fits well
-    into a task. Together the parts hold every qualifier once.
+    A row key can hold any number of qualifiers, so the widest rows get more parts; together these
+    hold every qualifier once. At most one row in ``part_cells`` cells is that wide, and Spark
+    broadcasts the list of them only once it has seen that it is small.
     """
-    if segments < 1:
-        raise ValueError("there must be at least one segment")
-    segment = F.pmod(F.xxhash64("qualifier"), F.lit(segments)).cast("int").alias("segment")
+    if part_cells < 1:
+        raise ValueError("a part must hold at least one cell")
+    sizes = totals.groupBy("row_key").agg(F.count("*").alias("cells"))
+    parts = F.ceil(F.col("cells") / part_cells).alias("parts")
+    wide = sizes.where(F.col("cells") > part_cells).select("row_key", parts)
+    spread = totals.join(wide, "row_key", "left")
+    part = F.pmod(F.xxhash64("qualifier"), F.coalesce("parts", F.lit(1))).alias("part")
     entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))
-    return totals.groupBy("row_key", segment).agg(F.map_from_entries(entries).alias("cells"))
+    return spread.groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))
 
 
 def increments(counts: DataFrame, qualifier: str, row_key: str = "Counter", n: str = "n") -> DataFrame:

@@ -115,14 +115,15 @@ def test_lookup(spark, folder):
 
 
 def test_wide_rows(spark):
-    rows = [("r", f"q{i}", i) for i in range(200)] + [("s", "q", 1)]
+    rows = [("r", f"q{i}", i) for i in range(200)] + [("s", "q", 1), ("s", "p", 2)]
     found = spark.createDataFrame(rows, "row_key string, qualifier string, value bigint")
-    parts = wide_rows(found, segments=8).collect()
-    assert 1 < sum(p["row_key"] == "r" for p in parts) <= 8
+    parts = wide_rows(found, part_cells=30).collect()
+    assert sum(p["row_key"] == "r" for p in parts) == 7
+    assert sum(p["row_key"] == "s" for p in parts) == 1
     assert sorted((p["row_key"], q, v) for p in parts for q, v in p["cells"].items()) == sorted(rows)
     assert len(wide_rows(found).collect()) == 2
     with pytest.raises(ValueError):
-        wide_rows(found, segments=0)
+        wide_rows(found, part_cells=0)
 
 
 def test_restart_and_lost_commit(spark, folder):
