@@ -88,7 +88,7 @@ def cell_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id, printf('%016X', event_id - user_id * 100) AS long_hex,
            right(printf('%016X', event_id - user_id * 100), 8) AS int_hex, props AS text
     FROM events""")
-def cell_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+def int_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of both signs as cell bytes, and text there and back."""
     number = F.col("event_id") - F.col("user_id") * 100
     return table(spark, sf_dir, "events").select(

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaybook.functions import decode_text, envelope, key_partition, open_envelope, topic_matches
+from relaybook.functions import (
+    decode_text,
+    envelope,
+    open_envelope,
+    routing,
+    split_topics,
+    topic_matches,
+)
 from relaybook.operators.messages import retained, with_header, with_kafka_topic
 from relaybook.operators.placement import place, split_rejects
 from relaybook.operators.vehicles import VINS, vehicle_messages
@@ -44,14 +51,13 @@ def _envelope_sql(text: str, ts: str) -> str:
         UNION ALL SELECT 'chat', turn, text FROM conversations)""")
 def consume_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All values of two topics from the first offset on, decoded."""
-    folder = work_dir(spark, "consume_earliest")
-    write = {"path": f"{folder}/landing"}
+    landing = work_dir(spark, "consume_earliest")
     for messages in (
         event_messages(table(spark, sf_dir, "events")),
         chat_messages(table(spark, sf_dir, "conversations")),
     ):
-        messages.write.mode("append").parquet(write["path"])
-    found = read_messages(spark, ["devices", "chat"], **write)
+        messages.write.mode("append").parquet(landing)
+    found = read_messages(spark, split_topics("devices,chat"), path=landing)
     return found.select("topic", "offset", decode_text(F.col("value")).alias("value"))
 
 
@@ -94,9 +100,11 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id, {_KEY} AS "key",
            CAST(CAST(regexp_extract({_KEY}, '([^.]*)$', 1) AS INTEGER) % {_PARTITIONS} AS INTEGER) AS "partition"
     FROM events""")
-def key_partition_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+def key_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = device_topics(table(spark, sf_dir, "events"))
-    return events.select("event_id", "key", key_partition(F.col("key"), _PARTITIONS).alias("partition"))
+    return events.select(
+        "event_id", "key", routing.key_partition(F.col("key"), _PARTITIONS).alias("partition")
+    )
 
 
 @query(f"""
@@ -104,7 +112,7 @@ def key_partition_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY ALL""")
 def key_partition_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per number, and how many of them the move put into a partition of that number."""
-    numbered = key_partition_number(spark, sf_dir)
+    numbered = key_partition(spark, sf_dir)
     kept, _ = split_rejects(numbered)
     splits = 4
     there = (F.spark_partition_id() / splits).cast("int")
@@ -114,6 +122,22 @@ def key_partition_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT "key", count(*) AS n FROM (
+        SELECT concat(lang, '.', source) AS "key" FROM documents
+        UNION ALL SELECT concat(role, '.', conv_id) FROM conversations)
+    WHERE NOT regexp_matches("key", '^[^.]*$|^[.][^.]*$|[.][+-]?[0-9]+$') GROUP BY "key"
+    """)
+def key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that end in no number, of documents, next to those of conversations, which do."""
+    documents = table(spark, sf_dir, "documents").select(F.concat("lang", F.lit("."), "source").alias("key"))
+    chats = chat_messages(table(spark, sf_dir, "conversations"))
+    keys = documents.unionByName(chats.select(decode_text(F.col("key")).alias("key")))
+    numbered = keys.withColumn("partition", routing.key_partition(F.col("key"), _PARTITIONS))
+    _, rejects = split_rejects(numbered)
+    return rejects.groupBy("key").agg(F.count("*").alias("n"))
+
+
 @query(f"SELECT event_id, {_TOPIC} AS topic FROM events WHERE {_MATCH}")
 def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = device_topics(table(spark, sf_dir, "events"))
@@ -192,7 +216,7 @@ def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT {_TOPIC} AS topic, arg_max(props, (ts, event_id)) AS payload, 0 AS qos
     FROM events GROUP BY ALL""")
-def topic_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topic_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retained message of every topic."""
     events = table(spark, sf_dir, "events")
     kept = retained(

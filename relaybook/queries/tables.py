@@ -33,21 +33,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_LINES)
-def document_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lines(_documents(spark, sf_dir))
 
 
 @query(f"{_LINES} ORDER BY id LIMIT 10")
-def document_table_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_table_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lines(_documents(spark, sf_dir).orderBy("id").limit(10))
 
 
 @query("""
     SELECT value, count(*) AS n
     FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents) GROUP BY value""")
-def text_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all ``.txt`` files in a folder tree, next to files of another kind."""
-    folder = work_dir(spark, "text_file_lines")
+    folder = work_dir(spark, "text_lines")
     documents = table(spark, sf_dir, "documents")
     for_language = documents.select("lang", "text").write.partitionBy("lang")
     for_language.text(f"{folder}/tree/texts")

@@ -54,6 +54,21 @@ def test_words_of_a_stream(spark, folder):
     assert bag(counters.totals().select("qualifier", "value")) == bag(batch)
 
 
+def test_a_live_stream(spark, folder):
+    """Batches by the clock, over files that come one after the other."""
+    counters = Counters(spark, f"{folder}/counters")
+    rows = [(None, b"a b", "t", 0, i, None) for i in range(3)]
+    for i, row in enumerate(rows):
+        spark.createDataFrame([row], MESSAGE).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        if i == 0:
+            messages = read_messages(spark, ["t"], path=f"{folder}/in", stream=True)
+            query = count_words(messages, counters, f"{folder}/checkpoint", every="1 second")
+        query.processAllAvailable()
+    query.stop()
+    assert bag(counters.totals()) == [("Counter", "a", 3), ("Counter", "b", 3)]
+    assert len(query.recentProgress) >= 3
+
+
 def test_windows_of_a_stream(spark, folder):
     hour = timedelta(hours=1)
     counters = Counters(spark, f"{folder}/counters")
