@@ -7,16 +7,17 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from relaybook.operators.windows import windowed_count
-from relaybook.operators.words import values, word_count
+from relaybook.operators.words import top_words, values, word_count
 from relaybook.schemas import INCREMENT, TOTAL
 from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments
 from relaybook.streaming.runs import each_batch
 
 BATCH_COUNT = StructType([StructField("n", LongType())])
+BATCH_WORDS = StructType([StructField("word", StringType()), StructField("n", LongType())])
 
 
 def count_words(
@@ -62,6 +63,22 @@ def count_ones(
     return each_batch(wanted, counters.add, checkpoint, every=every)
 
 
+def count_batch_words(
+    messages: DataFrame, log: BatchLog, checkpoint: str, *, show: int = 10, every: str | None = None
+) -> StreamingQuery:
+    """Log the word counts of every micro-batch by itself, and print the first of them.
+
+    What is printed is read back from the log, so the batch is counted once.
+    """
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        log.add(batch.transform(values).transform(word_count), batch_id)
+        if show:
+            log.batch(batch_id).transform(top_words, show).show(show, truncate=False)
+
+    return each_batch(messages.select("value"), count, checkpoint, every=every)
+
+
 def count_batches(
     messages: DataFrame, log: BatchLog, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:

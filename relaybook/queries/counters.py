@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from relaybook.functions import decode_text
 from relaybook.operators.words import word_count
-from relaybook.plans import count_batches, count_words
-from relaybook.plans.counting import BATCH_COUNT, count_ones, keep_totals, last_totals, totals_log
+from relaybook.plans import count_batch_words, count_batches, count_words
+from relaybook.plans.counting import (
+    BATCH_COUNT,
+    BATCH_WORDS,
+    count_ones,
+    keep_totals,
+    last_totals,
+    totals_log,
+)
 from relaybook.queries.fixtures import (
     chat_messages,
     document_messages,
@@ -120,6 +127,23 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read().agg(F.sum("n").alias("n"))
 
 
+@query(f"""
+    SELECT word, count(*) AS n
+    FROM ({sql_words('props', 'events')} UNION ALL {_CHAT_WORDS}) GROUP BY word""")
+def stream_batch_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word counts of single micro-batches, summed up over all of them."""
+    folder = work_dir(spark, "stream_batch_words")
+    log = BatchLog(spark, f"{folder}/counts", BATCH_WORDS)
+    for landed in (
+        event_messages(table(spark, sf_dir, "events")),
+        chat_messages(table(spark, sf_dir, "conversations")),
+    ):
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
+        finish(count_batch_words(messages, log, f"{folder}/checkpoint", show=0))
+    return log.read().groupBy("word").agg(F.sum("n").alias("n"))
+
+
 @query(_CHATS_AND_EVENTS)
 def counter_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same totals kept in a stream's state, with every change logged."""

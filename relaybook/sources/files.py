@@ -15,15 +15,21 @@ def read_lines(
     recursive: bool = False,
     stream: bool = False,
     batch_bytes: int = BATCH_BYTES,
+    archive: str | None = None,
 ) -> DataFrame:
     """One row ``value`` per line of a UTF-8 file, or of the files of a whole folder tree.
 
     ``name_glob`` keeps files by name: ``"*.txt"`` by extension, ``"*transaction*"`` by a part.
-    Files are split at line ends, so one large file is read by many tasks.
+    Files are split at line ends, so one large file is read by many tasks. A stream moves files
+    it is done with to the ``archive`` folder, which must lie outside ``path``.
     """
+    if archive is not None and not stream:
+        raise ValueError("only a stream archives its files")
     reader = spark.readStream.option("maxBytesPerTrigger", batch_bytes) if stream else spark.read
     if name_glob is not None:
         reader = reader.option("pathGlobFilter", name_glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.text(path).select("value")

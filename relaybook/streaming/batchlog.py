@@ -50,6 +50,11 @@ class BatchLog:
         done.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/done/{spot}")
         return True
 
+    def batch(self, batch_id: int, writer_id: str | None = None) -> DataFrame:
+        """The rows of one batch, which may be the one that is running."""
+        writer = writer_id or query_id(self.spark)
+        return self._read(f"data/writer_id={writer}/batch_id={int(batch_id)}", self.schema)
+
     def last_done(self, after: dict[str, int] | None = None) -> dict[str, int]:
         """The last done batch of each writer. There is one writer per checkpoint, so they are few.
 

@@ -26,7 +26,11 @@ def write_messages(
     path: str | None = None,
     producer: dict[str, str] | None = None,
 ) -> None:
-    """Write a table of messages to the topics its rows name, or to Parquet files."""
+    """Write a table of messages to the topics its rows name, or to Parquet files.
+
+    The columns ``topic``, ``key`` and ``value`` are sent. A column ``partition``, if there is
+    one, decides the partition; drop it from messages that come from another topic.
+    """
     writer = _sink_columns(messages).write
     if _kafka(servers, path):
         writer.format("kafka").options(**kafka_options(servers, producer)).save()

@@ -10,6 +10,7 @@ from relaybook.operators.windows import windowed_count
 from relaybook.operators.words import counter_lines, top_words, values, word_count
 from relaybook.plans import (
     bridge,
+    count_batch_words,
     count_batches,
     count_messages,
     count_words,
@@ -17,7 +18,7 @@ from relaybook.plans import (
     feed_vehicles,
     replay_bridge,
 )
-from relaybook.plans.counting import BATCH_COUNT
+from relaybook.plans.counting import BATCH_COUNT, BATCH_WORDS
 from relaybook.plans.fleet import SENT
 from relaybook.queries.fixtures import (
     document_messages,
@@ -119,6 +120,16 @@ def test_counts_per_batch(spark, folder):
     assert bag(log.read().select("batch_id", "n")) == [(0, 3), (1, 5)]
 
 
+def test_words_per_batch(spark, folder):
+    log = BatchLog(spark, f"{folder}/log", BATCH_WORDS)
+    for text in (b"a b a", b"a"):
+        rows = [(None, text, "t", 0, 0, None)]
+        spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        messages = read_messages(spark, ["t"], path=f"{folder}/in", stream=True)
+        finish(count_batch_words(messages, log, f"{folder}/checkpoint"))
+    assert bag(log.read().select("batch_id", "word", "n")) == [(0, "a", 2), (0, "b", 1), (1, "a", 1)]
+
+
 # --- sources and sinks
 
 def test_messages_from_files(spark, folder):
@@ -163,6 +174,21 @@ def test_lines(spark, folder):
     assert bag(read_lines(spark, f"{folder}/tree/a.txt")) == [("1",), ("2",), ("3",), ("4",)]
 
 
+def test_archive(spark, folder):
+    os.makedirs(f"{folder}/in")
+    log = BatchLog(spark, f"{folder}/sent", SENT)
+    for i in range(3):
+        with open(f"{folder}/in/{i}.txt", "w", encoding="utf-8") as out:
+            out.write("x\n")
+        lines = read_lines(spark, f"{folder}/in", stream=True, archive=f"{folder}/done")
+        finish(feed_vehicles(lines, f"{folder}/checkpoint", "t", log=log, every=None))
+    assert log.read().count() == 3
+    moved = [name for _, _, names in os.walk(f"{folder}/done") for name in names if name.endswith(".txt")]
+    assert "0.txt" in moved and not os.path.exists(f"{folder}/in/0.txt")
+    with pytest.raises(ValueError):
+        read_lines(spark, folder, archive="x")
+
+
 def test_console(spark, folder):
     stream = table_stream(spark, SF_DIR, "events").select("event_id")
     query = start_console(stream, f"{folder}/checkpoint")
