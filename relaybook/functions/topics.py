@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,24 +24,35 @@ def topic_matches(topic: Column, filters: Iterable[str]) -> Column:
     """True where the topic matches any of the MQTT subscription filters.
 
     Filters without a wildcard become one IN list and ``a/b/#`` becomes a prefix test, which both
-    reach the Parquet scan; only filters with ``+`` need a regular expression.
+    reach the Parquet scan; those with ``+`` share one regular expression.
     """
-    exact, tests = [], []
+    exact, patterns, tests = [], [], []
     for each in dict.fromkeys(filters):
         levels = each.split("/")
         _check_filter(each, levels)
         if levels == ["#"]:
             tests.append(~topic.startswith("$"))
         elif "+" in levels:
-            tests.append(topic.rlike(_filter_pattern(levels)))
+            patterns.append(_filter_pattern(levels))
         elif levels[-1] == "#":
             parent = each[:-2]
-            tests.append((topic == parent) | topic.startswith(parent + "/"))
+            exact.append(parent)
+            tests.append(topic.startswith(parent + "/"))
         else:
             exact.append(each)
     if exact:
         tests.append(topic.isin(exact))
-    return reduce(or_, tests) if tests else F.lit(False)
+    if patterns:
+        tests.append(topic.rlike(rf"(?s)^(?:{'|'.join(patterns)})\z"))
+    return _any(tests)
+
+
+def _any(tests: list[Column]) -> Column:
+    """The tests joined by OR, halved again and again so that thousands do not nest too deep."""
+    if len(tests) < 2:
+        return tests[0] if tests else F.lit(False)
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:])
 
 
 def _check_filter(each: str, levels: list[str]) -> None:
@@ -58,7 +67,7 @@ def _filter_pattern(levels: list[str]) -> str:
     named = levels[:-1] if rest else levels
     body = "/".join("[^/]*" if level == "+" else _quote(level) for level in named)
     system = r"(?!\$)" if levels[0] == "+" else ""
-    return rf"(?s)^{system}{body}{'(/.*)?' if rest else ''}\z"
+    return rf"{system}{body}{'(?:/.*)?' if rest else ''}"
 
 
 def _quote(level: str) -> str:

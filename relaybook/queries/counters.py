@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaybook.functions import decode_text
-from relaybook.operators.words import word_count
 from relaybook.plans import count_batch_words, count_batches, count_words
 from relaybook.plans.counting import (
     BATCH_COUNT,
@@ -197,8 +196,9 @@ def counter_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_counter_sql(_CHAT_WORDS))
 def counter_wide_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of counters as maps, opened up again."""
-    counts = word_count(table(spark, sf_dir, "conversations"), text="text")
-    totals = increments(counts, "word").withColumnRenamed("delta", "value")
-    return wide_rows(totals, part_cells=1000).select(
+    folder = work_dir(spark, "counter_wide_row")
+    counters = Counters(spark, folder)
+    _count_chats(spark, sf_dir, counters, folder)
+    return wide_rows(counters.totals(), part_cells=1000).select(
         "row_key", F.explode("cells").alias("qualifier", "value")
     )

@@ -14,10 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table_stream(
+    spark: SparkSession, sf_dir: str, name: str, batch_bytes: int | None = BATCH_BYTES
+) -> DataFrame:
     """The same table as a stream; a table is one file or a folder, and the pattern takes both."""
     reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
-    return reader.option("maxBytesPerTrigger", BATCH_BYTES).parquet(f"{sf_dir}/{name}.parquet*")
+    if batch_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
+    return reader.parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def device_topics(events: DataFrame) -> DataFrame:

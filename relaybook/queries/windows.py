@@ -89,9 +89,12 @@ def stream_message_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE window_start + INTERVAL '3 hours' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)
     GROUP BY window_start""")
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding windows of a stream with a watermark, written once each as they close."""
+    """Sliding windows of a stream with a watermark, written once each as they close.
+
+    The files of a table are in no order of time; in one batch none of their rows is late.
+    """
     folder = work_dir(spark, "stream_closed_windows")
-    events = table_stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp"))
+    events = table_stream(spark, sf_dir, "events", batch_bytes=None).select(F.col("ts").cast("timestamp"))
     counted = windowed_count(events, "ts", 3 * HOUR, HOUR, late=timedelta(minutes=10))
     writer = counted.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out")
     finish(triggered(writer.option("checkpointLocation", f"{folder}/checkpoint")).start())

@@ -88,7 +88,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that takes no task to read."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).where(F.lit(False)).select(*nulls)
 
 
 def query_id(spark: SparkSession) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from relaybook.schemas import INCREMENT, TOTAL
-from relaybook.streaming.batchlog import BatchLog, read_or_empty
+from relaybook.streaming.batchlog import BatchLog, no_rows, read_or_empty
 
 _AS_OF = StructField("as_of", LongType())
 _COVERED = StructType([StructField("writer_id", StringType()), StructField("last", LongType())])
@@ -59,7 +59,7 @@ class Counters:
         """Start all counters from 0 again: an empty snapshot that covers what is done so far."""
         as_of, covered = self._snapshot()
         last = self.log.last_done(covered)
-        self._publish(self.spark.createDataFrame([], TOTAL), as_of + 1, last)
+        self._publish(no_rows(self.spark, TOTAL), as_of + 1, last)
 
     def _totals(self, as_of: int, covered: dict[str, int], last: dict[str, int]) -> DataFrame:
         changes = self.log.read(upto=last, after=covered)

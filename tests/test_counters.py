@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,31 @@ def test_reset(spark, folder):
     assert totals(counters) == {("r", "a"): 3}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_order_of_steps(spark, folder, seed):
+    """Adding, repeating, compacting and resetting at random, against plain sums."""
+    pick = random.Random(seed)
+    counters, expected, batches = Counters(spark, folder), {}, {"v": [], "w": []}
+    for _ in range(14):
+        step = pick.choice(["add", "add", "add", "repeat", "compact", "reset"])
+        writer = pick.choice("vw")
+        if step == "add":
+            rows = [("r", pick.choice("abc"), pick.randint(-3, 9)) for _ in range(3)]
+            assert counters.add(increments(spark, *rows), len(batches[writer]), writer)
+            batches[writer].append(rows)
+            for row_key, qualifier, delta in rows:
+                expected[row_key, qualifier] = expected.get((row_key, qualifier), 0) + delta
+        elif step == "repeat" and batches[writer]:
+            last = len(batches[writer]) - 1
+            assert not counters.add(increments(spark, *batches[writer][last]), last, writer)
+        elif step == "compact":
+            counters.compact()
+        elif step == "reset":
+            counters.reset()
+            expected = {}
+    assert totals(counters) == expected
+
+
 def test_lookup(spark, folder):
     counters = Counters(spark, folder)
     counters.add(increments(spark, ("r", "a", 4)), 0, "w")

@@ -177,6 +177,13 @@ def test_bad_filters(bad):
         topic_matches(F.lit("a"), [bad])
 
 
+def test_many_filters(spark):
+    filters = [f"a/{i}/#" for i in range(3000)] + [f"b/+/{i}" for i in range(3000)] + ["c"]
+    topics = ["a/2999/x", "a/3000", "b/x/0", "b/x/3000", "c", "d"]
+    found = apply(spark, topics, "string", lambda t: topic_matches(t, filters))
+    assert found == [True, False, True, False, True, False]
+
+
 def test_no_filter_matches_nothing(spark):
     assert spark.range(1).where(topic_matches(F.lit("a"), [])).count() == 0
 
