@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaybook.functions import text_bytes
@@ -60,7 +60,9 @@ def document_messages(documents: DataFrame) -> DataFrame:
     return _messages(documents, key, F.col("text"), "documents", F.col("doc_id"), F.lit(None))
 
 
-def _messages(rows, key, value, topic: str, offset, ts) -> DataFrame:
+def _messages(
+    rows: DataFrame, key: Column, value: Column, topic: str, offset: Column, ts: Column
+) -> DataFrame:
     made = rows.select(
         text_bytes(key).alias("key"), text_bytes(value).alias("value"), F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"), offset.cast("bigint").alias("offset"),

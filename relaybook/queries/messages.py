@@ -15,7 +15,7 @@ from relaybook.functions import (
 )
 from relaybook.operators.messages import retained, with_header, with_kafka_topic
 from relaybook.operators.placement import place, split_rejects
-from relaybook.operators.vehicles import VINS, vehicle_messages
+from relaybook.operators.vehicles import TURNS, VINS, vehicle_messages
 from relaybook.plans import bridge, enveloped_bridge, feed_vehicles, replay_bridge
 from relaybook.plans.fleet import SENT
 from relaybook.queries.fixtures import (
@@ -209,7 +209,8 @@ def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = BatchLog(spark, f"{folder}/sent", SENT)
     lines = table_stream(spark, sf_dir, "events").select(F.col("props").alias("value"))
     finish(feed_vehicles(lines, f"{folder}/checkpoint", "test-topic", log=log, every=None))
-    line = F.regexp_extract("value", r"^1J9FN78S5VL1234(?:56|57|58) (.*)[0-9]{2}:[0-9]{2}:[0-9]{2}$", 1)
+    vehicle, time = "|".join(VINS[:TURNS]), "[0-9]{2}:[0-9]{2}:[0-9]{2}"
+    line = F.regexp_extract("value", f"^(?:{vehicle}) (.*){time}$", 1)
     return log.read().groupBy("topic", line.alias("line")).agg(F.count("*").alias("n"))
 
 

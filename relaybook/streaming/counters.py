@@ -50,10 +50,14 @@ class Counters:
         return found.select("row_key", "qualifier", F.coalesce("value", F.lit(0)).alias("value"))
 
     def compact(self) -> None:
-        """Fold what is done so far into a snapshot. Run one at a time; writers may go on."""
+        """Fold what is done so far into a snapshot. Run one at a time; writers may go on.
+
+        Its files are sorted, so that asking for some rows skips most of each.
+        """
         as_of, covered = self._snapshot()
         last = self.log.last_done(covered)
-        self._publish(self._totals(as_of, covered, last), as_of + 1, last)
+        totals = self._totals(as_of, covered, last).sortWithinPartitions("row_key", "qualifier")
+        self._publish(totals, as_of + 1, last)
 
     def reset(self) -> None:
         """Start all counters from 0 again: an empty snapshot that covers what is done so far."""

@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from relaybook.operators.cells import get_row, read_cells, recreate_cells
 from relaybook.operators.messages import fan_out

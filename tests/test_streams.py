@@ -2,6 +2,7 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from relaybook.operators.messages import fan_out, retained, to_topic, with_envelope, with_header
@@ -149,6 +150,13 @@ def test_messages_need_one_place(spark):
         write_messages(spark.range(1))
 
 
+@pytest.mark.parametrize("stream", [False, True])
+def test_kafka_is_asked_for(spark, stream):
+    """Without the connector the call gets as far as looking for it."""
+    with pytest.raises(AnalysisException, match="kafka"):
+        read_messages(spark, ["a"], servers="h:1", stream=stream, min_partitions=2, batch_offsets=5)
+
+
 def test_kafka_settings():
     assert kafka_options("h:1", {"acks": "all"}) == {
         "kafka.bootstrap.servers": "h:1", "kafka.acks": "all", "kafka.retries": "0",
