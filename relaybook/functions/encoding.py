@@ -12,8 +12,11 @@ def long_bytes(number: Column) -> Column:
 
 
 def int_bytes(number: Column) -> Column:
-    """Four bytes, the form of a plain integer cell. Eight and four bytes do not mix."""
-    return F.unhex(F.right(F.lpad(F.hex(number.cast("int").cast("bigint")), 16, "0"), F.lit(8)))
+    """Four bytes, the form of a plain integer cell; a wider number keeps its low four.
+
+    Eight and four bytes do not mix: a counter can not go on from such a cell.
+    """
+    return F.unhex(F.right(F.lpad(F.hex(number.cast("bigint")), 16, "0"), F.lit(8)))
 
 
 def text_bytes(text: Column) -> Column:

@@ -1,11 +1,18 @@
 """Whole jobs, from source to sink, that run the same over a backlog and over a live stream."""
 
 from relaybook.plans.bridge import bridge, enveloped_bridge, replay_bridge
-from relaybook.plans.counting import count_batch_words, count_batches, count_messages, count_words
+from relaybook.plans.counting import (
+    count_batch_words,
+    count_batches,
+    count_messages,
+    count_words,
+    put_batch_words,
+)
 from relaybook.plans.fleet import feed_vehicles
 
 __all__ = [
     "bridge", "enveloped_bridge", "replay_bridge",
     "count_batch_words", "count_batches", "count_messages", "count_words",
+    "put_batch_words",
     "feed_vehicles",
 ]

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from relaybook.operators.cells import int_cells
 from relaybook.operators.windows import windowed_count
 from relaybook.operators.words import top_words, values, word_count
-from relaybook.schemas import INCREMENT, TOTAL
+from relaybook.schemas import CELL, INCREMENT, TOTAL
 from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments
 from relaybook.streaming.runs import each_batch
@@ -79,6 +80,28 @@ def count_batch_words(
     return each_batch(messages.select("value"), count, checkpoint, every=every)
 
 
+def put_batch_words(
+    messages: DataFrame, log: BatchLog, checkpoint: str, *, row_key: str = "Counter",
+    family: str = "f", every: str | None = None,
+) -> StreamingQuery:
+    """Put the word counts of every micro-batch as integer cells of one row.
+
+    A put replaces: the latest cell of a word has its count in the last batch that held it.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.transform(values).transform(word_count)
+        now, seq = F.current_timestamp(), F.lit(batch_id).cast("bigint")
+        cells = int_cells(counts, F.lit(row_key), F.col("word"), F.col("n"), now, seq, family)
+        log.add(cells, batch_id)
+
+    return each_batch(messages.select("value"), put, checkpoint, every=every)
+
+
+def cells_log(spark: SparkSession, root: str) -> BatchLog:
+    return BatchLog(spark, root, CELL)
+
+
 def count_batches(
     messages: DataFrame, log: BatchLog, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:

@@ -13,9 +13,13 @@ from relaybook.operators.cells import (
     read_cells,
     recreate_cells,
 )
-from relaybook.queries.fixtures import table
-from relaybook.queries.registry import query
+from relaybook.plans import put_batch_words
+from relaybook.plans.counting import cells_log
+from relaybook.queries.fixtures import chat_messages, event_messages, table
+from relaybook.queries.registry import query, sql_words
 from relaybook.session import work_dir
+from relaybook.sources import read_messages
+from relaybook.streaming.runs import finish
 
 _USER_EVENTS = """
     SELECT event_type AS row_key, '{family}' AS family, CAST(user_id AS VARCHAR) AS qualifier,
@@ -84,6 +88,28 @@ def cell_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     return get_row(read_cells(spark, f"{folder}/cells"), "purchase")
 
 
+@query(f"""
+    WITH first AS (SELECT word, count(*) AS n FROM ({sql_words("props", "events")}) GROUP BY word),
+         later AS (SELECT word, count(*) AS n FROM ({sql_words("text", "conversations")}) GROUP BY word)
+    SELECT 'Counter' AS row_key, 'f' AS family, word AS qualifier,
+           right(printf('%016X', coalesce(later.n, first.n)), 8) AS value
+    FROM first FULL JOIN later USING (word)""")
+def stream_cell_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts of two batches put one over the other; each landed table is one batch."""
+    folder = work_dir(spark, "stream_cell_latest")
+    log = cells_log(spark, f"{folder}/cells")
+    for landed in (
+        event_messages(table(spark, sf_dir, "events")),
+        chat_messages(table(spark, sf_dir, "conversations")),
+    ):
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        messages = read_messages(
+            spark, ["devices", "chat"], path=f"{folder}/landing", stream=True, batch_bytes=None
+        )
+        finish(put_batch_words(messages, log, f"{folder}/checkpoint"))
+    return latest_cells(log.read()).withColumn("value", F.hex("value"))
+
+
 @query("""
     SELECT event_id, printf('%016X', event_id - user_id * 100) AS long_hex,
            right(printf('%016X', event_id - user_id * 100), 8) AS int_hex, props AS text

@@ -11,6 +11,7 @@ from relaybook.functions import (
     open_envelope,
     routing,
     split_topics,
+    text_bytes,
     topic_matches,
 )
 from relaybook.operators.messages import retained, with_header, with_kafka_topic
@@ -178,13 +179,15 @@ def replay_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_bridge(landed_events(table(spark, sf_dir, "events")), "replay", copies=10)
 
 
-@query("""
+@query(f"""
     SELECT 'replay' AS topic, CAST(k AS VARCHAR) AS "key", n, chars
-    FROM (SELECT count(*) AS n, CAST(sum(length(props)) AS BIGINT) AS chars FROM events), range(1000) AS r(k)""")
+    FROM (SELECT count(*) AS n, CAST(sum(length(payload)) AS BIGINT) AS chars
+          FROM (SELECT arg_max(props, (ts, event_id)) AS payload FROM events GROUP BY event_type, user_id)),
+         range(1000) AS r(k)""")
 def replay_fanout_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 1000 copies of every message, summed up per key."""
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    copies = replay_bridge(landed_events(table(spark, sf_dir, "events")), "replay", tasks=tasks)
+    """The retained message of every topic, sent on in all of 1000 copies, summed up per key."""
+    kept = topic_latest(spark, sf_dir).withColumn("payload", text_bytes(F.col("payload")))
+    copies = replay_bridge(kept, "replay")
     return copies.groupBy("topic", "key").agg(
         F.count("*").alias("n"), F.sum(F.length("value")).alias("chars")
     )

@@ -14,7 +14,7 @@ def read_lines(
     name_glob: str | None = None,
     recursive: bool = False,
     stream: bool = False,
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int | None = BATCH_BYTES,
     archive: str | None = None,
 ) -> DataFrame:
     """One row ``value`` per line of a UTF-8 file, or of the files of a whole folder tree.
@@ -25,7 +25,9 @@ def read_lines(
     """
     if archive is not None and not stream:
         raise ValueError("only a stream archives its files")
-    reader = spark.readStream.option("maxBytesPerTrigger", batch_bytes) if stream else spark.read
+    reader = spark.readStream if stream else spark.read
+    if stream and batch_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
     if name_glob is not None:
         reader = reader.option("pathGlobFilter", name_glob)
     if recursive:

@@ -29,7 +29,7 @@ def read_messages(
     starting: str = "earliest",
     min_partitions: int | None = None,
     batch_offsets: int | None = None,
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int | None = BATCH_BYTES,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Messages of some topics, from Kafka ``servers`` or from Parquet files under ``path``.
@@ -61,7 +61,7 @@ def read_landed(
     *,
     file_format: str = "parquet",
     stream: bool = False,
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int | None = BATCH_BYTES,
 ) -> DataFrame:
     """Device messages landed from an MQTT broker that match any of the subscription filters."""
     found = read_files(spark, path, LANDED, file_format=file_format, stream=stream, batch_bytes=batch_bytes)
@@ -75,8 +75,10 @@ def read_files(
     *,
     file_format: str = "parquet",
     stream: bool = False,
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int | None = BATCH_BYTES,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.option("maxBytesPerTrigger", batch_bytes) if stream else spark.read
+    reader = spark.readStream if stream else spark.read
+    if stream and batch_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
     return reader.format(file_format).schema(schema).options(**(options or {})).load(path)

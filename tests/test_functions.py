@@ -239,6 +239,11 @@ def test_int_bytes(spark):
     assert [bytes(b) for b in found] == [n.to_bytes(4, "big", signed=True) for n in NUMBERS]
 
 
+def test_int_bytes_of_wide_numbers(spark):
+    assert [bytes(b) for b in apply(spark, [2**32 + 1, 2**31], "bigint", int_bytes)] == [
+        b"\0\0\0\1", b"\x80\0\0\0"]
+
+
 def test_long_bytes(spark):
     numbers = NUMBERS + [2**63 - 1, -(2**63)]
     found = apply(spark, numbers, "bigint", long_bytes)
