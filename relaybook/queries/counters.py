@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaybook.functions import decode_text
+from relaybook.operators.messages import keyless, to_topic, with_text_payload
 from relaybook.plans import count_batch_words, count_batches, count_words
 from relaybook.plans.counting import (
     BATCH_COUNT,
@@ -19,6 +20,7 @@ from relaybook.queries.fixtures import (
     chat_messages,
     document_messages,
     event_messages,
+    landed_events,
     table,
     table_stream,
 )
@@ -28,6 +30,7 @@ from relaybook.sources import read_messages
 from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments, wide_rows
 from relaybook.streaming.runs import finish
+from relaybook.streaming.sinks import start_messages
 
 _DOCUMENT_WORDS = sql_words("text", "documents")
 _CHAT_WORDS = sql_words("text", "conversations")
@@ -71,6 +74,19 @@ def word_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.totals()
 
 
+@query(_counter_sql(sql_words("props", "events")))
+def relay_and_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way: landed messages, a bridge to one topic, and word counters behind it."""
+    folder = work_dir(spark, "relay_and_count")
+    landed = landed_events(table_stream(spark, sf_dir, "events"))
+    sent = landed.transform(with_text_payload).transform(to_topic, "devices").transform(keyless)
+    finish(start_messages(sent, f"{folder}/bridge", path=f"{folder}/topics"))
+    messages = read_messages(spark, ["devices"], path=f"{folder}/topics", stream=True)
+    counters = Counters(spark, f"{folder}/counters")
+    finish(count_words(messages, counters, f"{folder}/words"))
+    return counters.totals()
+
+
 @query("SELECT 'Counter' AS row_key, event_type AS qualifier, count(*) AS value FROM events GROUP BY event_type")
 def counter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "counter_totals")

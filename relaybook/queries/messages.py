@@ -32,7 +32,7 @@ from relaybook.session import work_dir
 from relaybook.sources import read_landed, read_messages
 from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.runs import finish
-from relaybook.streaming.sinks import start_messages, write_messages
+from relaybook.streaming.sinks import start_messages
 
 _TOPIC = "concat('devices/', event_type, '/', user_id)"
 _KEY = "concat(event_type, '.', user_id)"
@@ -156,9 +156,12 @@ def subscribe_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT {_TOPIC} AS topic, CAST(NULL AS VARCHAR) AS \"key\", props AS value FROM events")
 def bridge_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over landed messages of all topics, sent on as they are."""
     folder = work_dir(spark, "bridge_plain")
-    write_messages(bridge(landed_events(table(spark, sf_dir, "events"))), path=f"{folder}/out")
-    return spark.read.parquet(f"{folder}/out")
+    landed_events(table(spark, sf_dir, "events")).write.parquet(f"{folder}/landing")
+    messages = bridge(read_landed(spark, f"{folder}/landing", stream=True))
+    finish(start_messages(messages, f"{folder}/checkpoint", path=f"{folder}/out"))
+    return spark.read.schema(messages.schema).parquet(f"{folder}/out")
 
 
 @query(f"""
