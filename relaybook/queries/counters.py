@@ -122,8 +122,8 @@ def counter_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed.write.mode("append").parquet(f"{folder}/landing")
         messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
         finish(count_ones(_key_name(messages), counters, f"{folder}/checkpoint"))
-    for writer, last in counters.log.last_done().items():
-        counters.add(_key_name(chats), last, writer)
+    for writer, batches in counters.log.done().items():
+        counters.add(_key_name(chats), max(batches), writer)
     return counters.totals()
 
 

@@ -6,18 +6,15 @@ Layout under the root, with one writer per streaming query::
     done/writer_id=<w>/batch_id=<n>/    one row, written after the data is complete
 
 A batch that runs again finds itself done and writes nothing. One that failed halfway replaces its
-own folder, which nobody reads before it is done. A query finishes batch n before it starts n + 1,
-so all up to the last done batch of a writer is complete.
+own folder, which nobody reads before it is done.
 """
 
 from __future__ import annotations
 
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -42,7 +39,7 @@ class BatchLog:
         writer = writer_id or query_id(rows.sparkSession)
         if not re.fullmatch(r"[A-Za-z0-9_-]+", writer):
             raise ValueError("a writer id has only letters, digits, '-' and '_'")
-        spot = f"writer_id={writer}/batch_id={int(batch_id)}"
+        spot = _spot(writer, batch_id)
         if not self._read(f"done/{spot}", _DONE_AT).isEmpty():
             return False
         rows.select(self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/data/{spot}")
@@ -53,29 +50,34 @@ class BatchLog:
     def batch(self, batch_id: int, writer_id: str | None = None) -> DataFrame:
         """The rows of one batch, which may be the one that is running."""
         writer = writer_id or query_id(self.spark)
-        return self._read(f"data/writer_id={writer}/batch_id={int(batch_id)}", self.schema)
-
-    def last_done(self, after: dict[str, int] | None = None) -> dict[str, int]:
-        """The last done batch of each writer. There is one writer per checkpoint, so they are few.
-
-        What is known already can be given as ``after``; only later marks are then opened.
-        """
-        known = after or {}
-        done = self._read("done", _DONE)
-        for writer, last in known.items():
-            done = done.where((F.col("writer_id") != writer) | (F.col("batch_id") > last))
-        found = done.groupBy("writer_id").agg(F.max("batch_id").alias("last")).collect()
-        return {**known, **{row["writer_id"]: row["last"] for row in found}}
-
-    def read(self, upto: dict[str, int] | None = None, after: dict[str, int] | None = None) -> DataFrame:
-        """Rows of the done batches, or of those in a range; with ``writer_id`` and ``batch_id``.
-
-        The range is a condition on folder names, so other batches are not opened.
+        return self._read(f"data/{_spot(writer, batch_id)}", self.schema)
+
+    def done(self, after: dict[str, int] | None = None) -> dict[str, list[int]]:
+        """The done batches of each writer, or those later than what ``after`` names for it."""
+        marks = self._read("done", _DONE)
+        for writer, last in (after or {}).items():
+            marks = marks.where((F.col("writer_id") != writer) | (F.col("batch_id") > last))
+        found: dict[str, list[int]] = {}
+        for mark in marks.select("writer_id", "batch_id").distinct().collect():
+            found.setdefault(mark["writer_id"], []).append(mark["batch_id"])
+        return found
+
+    def read(self, batches: dict[str, list[int]] | None = None) -> DataFrame:
+        """Rows of the done batches, or of some of them; with ``writer_id`` and ``batch_id``.
+
+        Only the folders of these batches are listed, so neither a batch that is being written
+        nor one of long ago gets in the way.
         """
-        limits = self.last_done() if upto is None else upto
-        wanted = [_batches(w, n, (after or {}).get(w, -1)) for w, n in sorted(limits.items())]
-        data = self._read("data", StructType(self.schema.fields + _PLACE))
-        return data.where(reduce(or_, wanted) if wanted else F.lit(False))
+        wanted = self.done() if batches is None else batches
+        folders = [
+            f"{self.root}/data/{_spot(writer, batch)}"
+            for writer, found in sorted(wanted.items()) for batch in sorted(found)
+        ]
+        schema = StructType(self.schema.fields + _PLACE)
+        if not folders:
+            return no_rows(self.spark, schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
+        return reader.parquet(*folders)
 
     def _read(self, folder: str, schema: StructType) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/{folder}", schema)
@@ -105,6 +107,5 @@ def query_id(spark: SparkSession) -> str:
     return found
 
 
-def _batches(writer: str, last: int, after: int) -> Column:
-    batch = F.col("batch_id")
-    return (F.col("writer_id") == writer) & (batch <= last) & (batch > after)
+def _spot(writer: str, batch_id: int) -> str:
+    return f"writer_id={writer}/batch_id={int(batch_id)}"

@@ -38,7 +38,7 @@ class Counters:
     def totals(self) -> DataFrame:
         """All counters as ``(row_key, qualifier, value)``."""
         as_of, covered = self._snapshot()
-        return self._totals(as_of, covered, self.log.last_done(covered))
+        return self._totals(as_of, self.log.done(covered))
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """The value of each distinct ``(row_key, qualifier)`` asked for, 0 where there is none.
@@ -55,18 +55,17 @@ class Counters:
         Its files are sorted, so that asking for some rows skips most of each.
         """
         as_of, covered = self._snapshot()
-        last = self.log.last_done(covered)
-        totals = self._totals(as_of, covered, last).sortWithinPartitions("row_key", "qualifier")
-        self._publish(totals, as_of + 1, last)
+        fresh = self.log.done(covered)
+        totals = self._totals(as_of, fresh).sortWithinPartitions("row_key", "qualifier")
+        self._publish(totals, as_of + 1, covered, fresh)
 
     def reset(self) -> None:
         """Start all counters from 0 again: an empty snapshot that covers what is done so far."""
         as_of, covered = self._snapshot()
-        last = self.log.last_done(covered)
-        self._publish(no_rows(self.spark, TOTAL), as_of + 1, last)
+        self._publish(no_rows(self.spark, TOTAL), as_of + 1, covered, self.log.done(covered))
 
-    def _totals(self, as_of: int, covered: dict[str, int], last: dict[str, int]) -> DataFrame:
-        changes = self.log.read(upto=last, after=covered)
+    def _totals(self, as_of: int, fresh: dict[str, list[int]]) -> DataFrame:
+        changes = self.log.read(fresh)
         parts = changes.select("row_key", "qualifier", F.col("delta").alias("value"))
         if as_of:
             parts = parts.unionByName(self._folded("totals", as_of, TOTAL))
@@ -85,11 +84,15 @@ class Counters:
     def _folded(self, part: str, as_of: int, schema: StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/snapshots/{part}/as_of={as_of}")
 
-    def _publish(self, totals: DataFrame, as_of: int, last: dict[str, int]) -> None:
+    def _publish(
+        self, totals: DataFrame, as_of: int, covered: dict[str, int], fresh: dict[str, list[int]]
+    ) -> None:
         folder = f"{self.root}/snapshots"
         totals.write.mode("overwrite").parquet(f"{folder}/totals/as_of={as_of}")
-        covered = self.spark.createDataFrame(sorted(last.items()), _COVERED)
-        covered.coalesce(1).write.mode("overwrite").parquet(f"{folder}/covered/as_of={as_of}")
+        # A query finishes one batch before it starts the next, so the last one stands for all.
+        last = {**covered, **{writer: max(batches) for writer, batches in fresh.items()}}
+        rows = self.spark.createDataFrame(sorted(last.items()), _COVERED)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/covered/as_of={as_of}")
 
 
 def wide_rows(totals: DataFrame, part_cells: int = 100_000) -> DataFrame:

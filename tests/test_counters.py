@@ -81,6 +81,8 @@ def test_snapshot(spark, folder):
     counters.compact()
     counters.compact()
     assert totals(counters) == expected
+    assert counters.log.done({"w": 1, "late": 0}) == {}
+    assert counters.log.done({"w": 0}) == {"w": [1], "late": [0]}
     assert not counters.add(increments(spark, ("r", "a", 10)), 1, "w")
     assert totals(counters) == expected
 
@@ -159,7 +161,7 @@ def test_restart_and_lost_commit(spark, folder):
     land(spark, f"{folder}/landing", ("r", "a", 10))
     again = run(spark, counters, f"{folder}/landing", f"{folder}/checkpoint")
     assert first.id == again.id
-    assert counters.log.last_done() == {first.id: 1}
+    assert {w: sorted(b) for w, b in counters.log.done().items()} == {first.id: [0, 1]}
     expected = {("r", "a"): 11, ("r", "b"): 2}
     assert totals(counters) == expected
     # As if the driver had died after the write and before the commit of batch 1.
@@ -178,7 +180,7 @@ def test_a_new_checkpoint_is_a_new_writer(spark, folder):
     land(spark, f"{folder}/other", ("r", "a", 5))
     run(spark, counters, f"{folder}/other", f"{folder}/checkpoint2")
     assert totals(counters) == {("r", "a"): 6}
-    assert len(counters.log.last_done()) == 2
+    assert len(counters.log.done()) == 2
 
 
 def test_many_batches(spark, folder):
@@ -188,7 +190,7 @@ def test_many_batches(spark, folder):
     stream = read_files(spark, f"{folder}/landing", INCREMENT, stream=True, batch_bytes=1)
     query = count_ones(stream, counters, f"{folder}/checkpoint")
     finish(query)
-    assert counters.log.last_done() == {query.id: 2}
+    assert {w: sorted(b) for w, b in counters.log.done().items()} == {query.id: [0, 1, 2]}
     assert totals(counters) == {("r", "a"): 111, ("r", "q0"): 1, ("r", "q1"): 1, ("r", "q2"): 1}
 
 
