@@ -36,8 +36,12 @@ def _bag(names, rows):
 
 def check(query, spark, sf_dir: str) -> int:
     """Number of rows, once both sides are found equal."""
-    spark_types, spark_rows = spark_result(query.run(spark, sf_dir))
-    sql_types, sql_rows = sql_result(query.sql, sf_dir)
+    return compare(query.run(spark, sf_dir), query.sql, sf_dir)
+
+
+def compare(df, sql: str, sf_dir: str) -> int:
+    spark_types, spark_rows = spark_result(df)
+    sql_types, sql_rows = sql_result(sql, sf_dir)
     assert spark_types == sql_types, (spark_types, sql_types)
     missing, extra = sql_rows - spark_rows, spark_rows - sql_rows
     assert not missing and not extra, (missing.most_common(3), extra.most_common(3))
