@@ -57,10 +57,10 @@ class BatchLog:
         marks = self._read("done", _DONE)
         for writer, last in (after or {}).items():
             marks = marks.where((F.col("writer_id") != writer) | (F.col("batch_id") > last))
-        found: dict[str, list[int]] = {}
-        for mark in marks.select("writer_id", "batch_id").distinct().collect():
-            found.setdefault(mark["writer_id"], []).append(mark["batch_id"])
-        return found
+        found: dict[str, set[int]] = {}
+        for mark in marks.select("writer_id", "batch_id").collect():
+            found.setdefault(mark["writer_id"], set()).add(mark["batch_id"])
+        return {writer: sorted(batches) for writer, batches in found.items()}
 
     def read(self, batches: dict[str, list[int]] | None = None) -> DataFrame:
         """Rows of the done batches, or of some of them; with ``writer_id`` and ``batch_id``.
@@ -71,7 +71,7 @@ class BatchLog:
         wanted = self.done() if batches is None else batches
         folders = [
             f"{self.root}/data/{_spot(writer, batch)}"
-            for writer, found in sorted(wanted.items()) for batch in sorted(found)
+            for writer, found in sorted(wanted.items()) for batch in found
         ]
         schema = StructType(self.schema.fields + _PLACE)
         if not folders:
