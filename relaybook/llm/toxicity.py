@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,14 @@ from pyspark.sql import types as T
 from relaybook.llm.common import map_arrow, quoted, without
 
 #: Labelled rows that the model is fitted on at most, taken by a hash of the id.
-FIT_ROWS = 12_000
-FEATURES = 1 << 18
-PIECE = 5
+FIT_ROWS = 6_000
+FEATURES = 1 << 20
+#: Beginnings of a word that are features beside the word itself, in characters.
+BEGINNINGS = (4, 5)
+#: A feature counts if this many fitted rows have it.
+LEAST_ROWS = 3
+#: Standard errors that its log odds must be away from 0.
+LEAST_ERRORS = 2.0
 #: Word scores that a task remembers.
 REMEMBERED = 300_000
 FOLDS = 5
@@ -42,137 +48,152 @@ def held_out(doc_id: Column) -> Column:
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a word: itself, and its pieces of five characters from its start on."""
-    marked = f"^{word}$"
-    found = {zlib.crc32(marked.encode())}
-    found.update(zlib.crc32(marked[i:i + PIECE].encode()) for i in range(len(marked) - PIECE + 1))
+    """Hashed features of a word: itself, and its beginnings."""
+    found = {zlib.crc32(f"{word}$".encode())}
+    found.update(zlib.crc32(word[:n].encode()) for n in BEGINNINGS if len(word) >= n)
     return [f % FEATURES for f in found]
 
 
-def words_of(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+def words_of(text: str) -> Counter[str]:
+    return Counter(_WORD.findall(text.lower()))
 
 
-def swaps(words: set[str], identity=IDENTITY) -> list[set[str]]:
-    """The word set with every identity term replaced by the next of its group, and so on round."""
+def swaps(words: Counter[str], identity=IDENTITY) -> list[Counter[str]]:
+    """The words with every identity term replaced by the next of its group, and so on round."""
     if not any(term in words for group in identity for term in group):
         return []
-    out = []
+    out: list[Counter[str]] = []
     for turn in range(1, max(len(group) for group in identity)):
-        map_to = {t: g[(i + turn) % len(g)] for g in identity for i, t in enumerate(g)}
-        changed = {map_to.get(w, w) for w in words}
+        other = {t: g[(i + turn) % len(g)] for g in identity for i, t in enumerate(g)}
+        changed: Counter[str] = Counter()
+        for word, count in words.items():
+            changed[other.get(word, word)] += count
         if changed != words and changed not in out:
             out.append(changed)
     return out
 
 
 class Rows:
-    """Sparse rows of features, each scaled by the square root of its words."""
-
-    def __init__(self, sets: list[set[str]], known: dict[str, list[int]]):
-        ids, sizes, scale = [], [], []
-        for words in sets:
-            row = [f for w in words for f in known.setdefault(w, features(w))]
-            ids.append(np.array(row, np.int32))
+    """Sparse rows: of each feature, its share of the text's words."""
+
+    def __init__(self, texts: list[Counter[str]], known: dict[str, list[int]]):
+        ids, counts, sizes = [], [], []
+        for words in texts:
+            row: Counter[int] = Counter()
+            for word, count in words.items():
+                for feature in known.setdefault(word, features(word)):
+                    row[feature] += count
+            ids.append(np.fromiter(row.keys(), np.int32, len(row)))
+            counts.append(np.fromiter(row.values(), float, len(row)) / max(1, words.total()))
             sizes.append(len(row))
-            scale.append(1 / np.sqrt(max(1, len(words))))
         self.ids = np.concatenate([*ids, np.zeros(0, np.int32)])
-        self.ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int64)
-        self.scale = np.array(scale)
+        self.share = np.concatenate([*counts, np.zeros(0)])
+        self.row, self.size = np.repeat(np.arange(len(texts)), sizes), len(texts)
+
+    def only(self, which: np.ndarray) -> Rows:
+        """The same rows with features that are marked in ``which``."""
+        kept = which[self.ids]
+        self.ids, self.row, self.share = self.ids[kept], self.row[kept], self.share[kept]
+        return self
+
+    def product(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights[self.ids] * self.share, self.size)
 
-    def part(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The features of some rows, and the number within ``which`` of each feature's row."""
-        counts = self.ends[which + 1] - self.ends[which]
-        at = np.arange(counts.sum()) + np.repeat(self.ends[which] - (np.cumsum(counts) - counts), counts)
-        return self.ids[at], np.repeat(np.arange(len(which)), counts)
+    def gradient(self, slope: np.ndarray) -> np.ndarray:
+        return np.bincount(self.ids, slope[self.row] * self.share, FEATURES)
 
 
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
+def _log_odds(rows: Rows, y: np.ndarray) -> np.ndarray:
+    """Per feature, how much more often label 1 has it, as a log; 0 for features of few rows."""
+    total = np.bincount(rows.ids, minlength=FEATURES)
+    ones = np.bincount(rows.ids, y[rows.row], FEATURES)
+    share = y.mean()
+    odds = np.log((ones + share) / (y.sum() + 1)) - np.log((total - ones + 1 - share) / (len(y) - y.sum() + 1))
+    error = np.sqrt(1 / (ones + share) + 1 / (total - ones + 1 - share))
+    return np.where((total >= LEAST_ROWS) & (np.abs(odds) >= LEAST_ERRORS * error), odds, 0.0)
+
+
 def fit(
-    texts: list[str], labels: list[int], penalty: float = 4.0, decay: float = 1e-6, epochs: int = 12,
-    batch: int = 256, rate: float = 0.2, identity=IDENTITY,
-) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic model. Without both labels it knows only their rate."""
-    weights, y = np.zeros(FEATURES), np.array(labels, float)
+    texts: list[str], labels: list[int], penalty: float = 4.0, decay: float = 1e-3, steps: int = 60,
+    rate: float = 0.5, identity=IDENTITY,
+) -> tuple[dict[int, float], float]:
+    """Weights (those that are not 0) and bias of a logistic model. Without both labels it knows only their rate.
+
+    Each feature's weight is its log odds times a factor; the factors are fitted by Adam, over all
+    rows in each step, with both labels weighing alike. Added to the log loss are ``penalty`` times
+    the mean square of the change of score under swaps, and ``decay`` times the factors' squares.
+    """
+    y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
-        return weights, float(np.log(share / (1 - share)))
+        return {}, float(np.log(share / (1 - share)))
     sets = [words_of(t) for t in texts]
     known: dict[str, list[int]] = {}
     pairs = [(i, changed) for i, words in enumerate(sets) for changed in swaps(words, identity)]
     rows, other = Rows(sets, known), Rows([changed for _, changed in pairs], known)
     origin = np.array([i for i, _ in pairs], np.int64)
-    share, seen = y.mean(), np.full(FEATURES, 1e-8)
-    bias, bias_seen = float(np.log(share / (1 - share))), 1e-8
-    random = np.random.default_rng(17)
-
-    def gradient(source: Rows, which: np.ndarray, slope: np.ndarray):
-        ids, row = source.part(which)
-        return ids, (slope * source.scale[which])[row]
-
-    def score(source: Rows, which: np.ndarray) -> np.ndarray:
-        ids, row = source.part(which)
-        return _sigmoid(np.bincount(row, weights[ids], len(which)) * source.scale[which] + bias)
-
-    def step(parts, bias_slope: float) -> None:
-        nonlocal bias, bias_seen
-        ids = np.concatenate([p[0] for p in parts])
-        values = np.concatenate([p[1] for p in parts])
-        touched, place = np.unique(ids, return_inverse=True)
-        slope = np.bincount(place, values) + decay * weights[touched]
-        seen[touched] += slope * slope
-        weights[touched] -= rate * slope / np.sqrt(seen[touched])
-        bias_seen += bias_slope**2
-        bias -= rate * bias_slope / np.sqrt(bias_seen)
-
-    for _ in range(epochs):
-        order = random.permutation(len(y))
-        for low in range(0, len(y), batch):
-            which = order[low:low + batch]
-            slope = (score(rows, which) - y[which]) / len(which)
-            step([gradient(rows, which, slope)], float(slope.sum()))
-        # The square of each change of score, over the texts that name a group.
-        shuffled = random.permutation(len(origin))
-        for low in range(0, len(shuffled), batch):
-            which = shuffled[low:low + batch]
-            a, b = score(rows, origin[which]), score(other, which)
-            change = 2 * penalty * (a - b) / len(which)
-            up, down = change * a * (1 - a), -change * b * (1 - b)
-            step([gradient(rows, origin[which], up), gradient(other, which, down)], float((up + down).sum()))
-    return weights, bias
+    odds = _log_odds(rows, y)
+    rows, other = rows.only(odds != 0), other.only(odds != 0)
+    weigh = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    # At first, one strong word in a hundred decides.
+    factors = np.full(FEATURES, 25.0)
+    bias = -float(np.median(rows.product(odds * factors))) - 2.0
+    mean, square = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
+    for step in range(1, steps + 1):
+        score = _sigmoid(rows.product(odds * factors) + bias)
+        slope = weigh * (score - y)
+        change = np.zeros(0)
+        if len(origin):
+            swapped = _sigmoid(other.product(odds * factors) + bias)
+            both = 2 * penalty * (score[origin] - swapped) / len(origin)
+            slope = slope + np.bincount(origin, both * score[origin] * (1 - score[origin]), len(y))
+            change = -both * swapped * (1 - swapped)
+        gradient = rows.gradient(slope) + (other.gradient(change) if len(origin) else 0.0)
+        full = np.append(gradient * odds + 2 * decay * factors / FEATURES, slope.sum() + change.sum())
+        mean, square = 0.9 * mean + 0.1 * full, 0.99 * square + 0.01 * full * full
+        moved = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
+        factors, bias = factors - moved[:-1], bias - float(moved[-1])
+    weights = odds * factors
+    used = np.flatnonzero(weights)
+    return dict(zip(used.tolist(), weights[used].tolist(), strict=True)), bias
+
+
+class WordWeights(dict):
+    """The weight of a word: the sum over its features, computed once and remembered."""
+
+    def __init__(self, weights: dict[int, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        value = sum(self.weights.get(f, 0.0) for f in features(word))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = value
+        return value
 
 
 class Scorer:
-    """Scores texts; a word's weight is computed once and remembered."""
-
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias, self.known = weights, bias, {}
+    """Scores texts by the mean weight of their words."""
 
-    def _word(self, word: str) -> float:
-        value = float(sum(self.weights[f] for f in features(word)))
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if len(word) <= 64:
-            self.known[word] = value
-        return value
+    def __init__(self, weights: dict[int, float], bias: float):
+        self.words, self.bias = WordWeights(weights), bias
 
     def score(self, text: str) -> float:
-        words, known = words_of(text), self.known
-        total = 0.0
-        # In a fixed order, so that a rerun gives the same last digit.
-        for word in sorted(words):
-            value = known.get(word)
-            total += self._word(word) if value is None else value
-        return float(_sigmoid(total / np.sqrt(max(1, len(words))) + self.bias))
+        words = _WORD.findall(text.lower())
+        total = sum(map(self.words.__getitem__, words))
+        return float(_sigmoid(total / max(1, len(words)) + self.bias))
 
 
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label: str = "toxic", most: int = FIT_ROWS, **options,
-) -> tuple[np.ndarray, float]:
+) -> tuple[dict[int, float], float]:
     """Fit on at most ``most`` labelled documents, outside the held-out fold, taken by hash of id.
 
     The ids (``most`` rows) go to all tasks and one text for each comes back. Of several labels of an
@@ -190,7 +211,7 @@ def train(
 
 
 def score_toxicity(
-    docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text"
+    docs: DataFrame, model: tuple[dict[int, float], float], text: str = "text"
 ) -> DataFrame:
     """Documents with ``score`` (0 to 1) and ``predicted`` in place of their text.
 
@@ -201,7 +222,8 @@ def score_toxicity(
     names = [n for n in without(docs, "score", "predicted").columns if n != text]
     rows = docs.select(*[quoted(n) for n in names], quoted(text).alias("scored_text"))
     schema = T.StructType([*[rows.schema[n] for n in names], T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
+    # FEATURES weights at most, and far fewer as a rule.
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*shared.value)
