@@ -15,6 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -201,7 +202,7 @@ def _pass(docs: DataFrame, phrases: Phrases, text: str, carry: list[str], last:
 
 def _parts(batch: pa.RecordBatch, text: str, most: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with some bytes of text each, one row at least."""
-    lengths = np.array(pa.compute.binary_length(batch.column(text)).fill_null(0), np.int64)
+    lengths = np.array(pc.binary_length(batch.column(text)).fill_null(0), np.int64)
     part = np.cumsum(lengths) // most
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)]
     for a, b in zip(edges, edges[1:], strict=False):

@@ -130,10 +130,10 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     input with the names of result columns are replaced.
     """
     added = (*METRICS, "base_failed", "failed_rules", "kept")
-    # A text that the result replaces is still read first.
-    counted = docs.select(F.struct(*columns(without(docs, *added))).alias("row"),
-                          metrics(F.col(text)).alias("counts"))
-    flat = counted.select("row", "counts.*")
+    # A text that the result replaces is still read first. The counts are laid out by a generator,
+    # so that a filter on them does not compute them once for each rule.
+    flat = docs.select(F.struct(*columns(without(docs, *added))).alias("row"),
+                       F.inline(F.array(metrics(F.col(text)))))
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     names = [f"{rule.metric}/{rule.per}" if rule.per else rule.metric for rule in rules]
     failed = F.filter(

@@ -14,6 +14,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,7 +134,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = LI
         count = _counter(path, digest, proof.value).count
         for batch in batches:
             texts = batch.column("counted_text")
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             counts = pa.array([count(t.as_py() or "") for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], sizes, counts], names=[f.name for f in schema]
