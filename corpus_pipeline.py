@@ -31,7 +31,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: where each document of the mix is stored."""
-    placed = shards.shard(docs, SHARDS)
+    placed = shards.shard(docs, SHARDS, carry=["doc_id", "source"])
     return placed.select("doc_id", "source", "size", "text_crc32", "shard", "slot", "virtual_slot")
 
 

@@ -54,6 +54,12 @@ def columns(rows: DataFrame) -> list[Column]:
     return [quoted(name) for name in rows.columns]
 
 
+def carried(rows: DataFrame, carry: list[str] | None, *added: str) -> Column:
+    """The columns that go through an operator, as one struct: those named, or all but ``added``."""
+    names = carry if carry is not None else without(rows, *added).columns
+    return F.struct(*[quoted(name) for name in names])
+
+
 def map_arrow(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """``mapInArrow`` whose tasks find this package where the driver has it, if it is there too."""
     environment = rows.sparkSession.sparkContext.environment

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relaybook.llm.common import columns, stash, without
+from relaybook.llm.common import carried, stash
 
 THRESHOLD = 0.7
 #: Names of licence files, whose licence holds for their directory and those below it.
@@ -24,6 +24,11 @@ def directory(path: Column) -> Column:
     return F.when(F.instr(path, "/") == 0, F.lit("")).otherwise(F.regexp_replace(path, "/[^/]*$", ""))
 
 
+def _file(path: Column, text: Column) -> Column:
+    """What tells files apart: their path and text."""
+    return F.sha2(F.concat_ws("\n", F.coalesce(F.concat(F.lit("="), path), F.lit("-")), text), 256)
+
+
 def _idf(df: Column, documents: int) -> Column:
     return F.log((F.lit(documents) + 1.0) / (df + 1.0)) + 1.0
 
@@ -72,7 +77,7 @@ def anchors(weights: DataFrame, threshold: float) -> DataFrame:
 
 def scan_licenses(
     files: DataFrame, templates: DataFrame, path: str = "path", text: str = "text",
-    threshold: float = THRESHOLD,
+    threshold: float = THRESHOLD, carry: list[str] | None = None,
 ) -> DataFrame:
     """Files with ``header_license``, ``header_score``, ``inherited_license``, ``inherited_from`` and
     ``license``.
@@ -88,7 +93,9 @@ def scan_licenses(
 
     Null and empty texts have no header. A null path has no directory and inherits nothing; the
     licence in such a row still counts for itself. Rows with one path and text are scanned once and
-    all get the result. Columns of the input with the names of result columns are replaced.
+    all get the result. ``carry`` names the columns of ``files`` to return (default: all); texts that
+    are not carried are not shuffled. Columns of the input with the names of result columns are
+    replaced.
     """
     added = ("header_license", "header_score", "inherited_license", "inherited_from", "license")
     # Other files lie in directories and hold texts too, so only these two columns are looked at.
@@ -97,9 +104,7 @@ def scan_licenses(
     weights = stash(weights, "license-weights")
     needed = [row.term for row in anchors(weights, threshold).collect()]
     able = plain.filter(F.arrays_overlap(terms(F.col("text")), _strings(needed)))
-    marked = able.withColumn("file", F.sha2(F.concat_ws(
-        "\n", F.coalesce(F.concat(F.lit("="), F.col("path")), F.lit("-")), F.col("text")), 256)
-    ).withColumn("is_license", F.coalesce(
+    marked = able.withColumn("file", _file(F.col("path"), F.col("text"))).withColumn("is_license", F.coalesce(
         F.regexp_like(F.substring_index("path", "/", -1), F.lit(LICENSE_FILE)), F.lit(False)
     ))
     units = F.array_union(
@@ -149,8 +154,8 @@ def scan_licenses(
         F.max(F.struct("depth", "above", "inherited_license")).alias("near")
     ).select("folder", F.col("near.inherited_license"), F.col("near.above").alias("inherited_from"))
     whole = files.select(
-        F.struct(*columns(without(files, *added))).alias("row"), F.col(path).alias("own_path"),
-        F.sha2(F.concat_ws("\n", F.coalesce(F.concat(F.lit("="), F.col(path)), F.lit("-")), F.col(text)), 256).alias("own_file"),
+        carried(files, carry, *added).alias("row"), F.col(path).alias("own_path"),
+        _file(F.col(path), F.col(text)).alias("own_file"),
     ).withColumn("folder", directory(F.col("own_path")))
     headers = best.select(F.col("file").alias("own_file"), "header_license", "header_score")
     result = whole.join(headers, "own_file", "left").join(nearest, "folder", "left")

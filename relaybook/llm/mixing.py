@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relaybook.llm.common import columns, stash, without, words
+from relaybook.llm.common import carried, columns, stash, words
 
 #: Weights and schedules go round over the sources in code point order, null last.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -79,13 +79,16 @@ def due(share_done: Column, knots) -> Column:
     return found
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+ADDED = ("size", "source_size", "target", "copies", "taken", "positions")
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str, source: str, carry) -> DataFrame:
     """The whole row, and what the mix needs of it. The key says where in its stream a row stands."""
     marked = [F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("-"))
               for name in (doc_id, source, text)]
     key = F.md5(F.concat_ws("\n", *marked))
     return docs.select(
-        F.struct(*columns(docs)).alias("row"),
+        carried(docs, carry, *ADDED).alias("row"),
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-")).alias("stream"),
         F.size(words(F.col(text))).cast("long").alias("size"),
@@ -97,6 +100,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
 def mix(
     docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE, most: int = MOST,
     doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Documents with ``size``, ``source_size``, ``target``, ``copies``, ``taken`` and ``positions``.
 
@@ -108,14 +112,15 @@ def mix(
 
     Null texts and texts without words have size 0 and are not taken. Null sources are one source,
     the last. Rows equal in id, source and text follow each other; which of them is taken twice does
-    not show in the result. An empty table gives an empty one. Columns of the input with the names
-    of result columns are replaced.
+    not show in the result. An empty table gives an empty one. ``carry`` names the columns of
+    ``docs`` to return (default: all); texts that are not carried are not shuffled. Columns of the
+    input with the names of result columns are replaced.
     """
     if len(weights) != len(schedules):
         raise ValueError("weights and schedules must pair up")
     if any(not w > 0 or math.isinf(w) for w in weights):
         raise ValueError("weights must be above 0")
-    keyed = _keyed(docs, doc_id, text, source)
+    keyed = _keyed(docs, doc_id, text, source, carry)
     sums = stash(
         keyed.groupBy("stream", "source", "bucket").agg(F.sum("size").alias("bucket_size")),
         "mix-sums",
@@ -156,18 +161,13 @@ def mix(
     counted = placed.withColumn("copies", copies).withColumn(
         "positions", F.filter(positions, lambda at: at.isNotNull())
     )
-    added = ("size", "source_size", "target", "copies", "taken", "positions")
-    kept = without(docs, *added).columns
-    return counted.withColumn("taken", F.col("size") * F.col("copies")).select(
-        *[F.col("row")[name].alias(name) for name in kept], *added
-    )
+    return counted.withColumn("taken", F.col("size") * F.col("copies")).select("row.*", *ADDED)
 
 
-def arrange(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """One row per copy taken, with the columns of ``docs``, sorted by training position.
+def arrange(mixed: DataFrame) -> DataFrame:
+    """One row per copy taken, sorted by training position, from a mix that carries structs ``row``.
 
-    ``mixed`` is ``mix`` of a table whose only column is the struct ``row`` and the columns it needs.
-    Copies are dealt by range of position, ties by id of the row's content, and sorted.
+    Copies are dealt by range of position, ties by a hash of the row, and sorted.
     """
     copies = mixed.select("row", F.explode("positions").alias("position"))
     ordered = copies.withColumn("tie", F.xxhash64("row"))
@@ -183,5 +183,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.struct(*columns(docs)).alias("row"),
         *[F.col(name).alias(f"mix_{role}") for role, name in names.items()],
     )
-    mixed = mix(wrapped, doc_id="mix_doc_id", text="mix_text", source="mix_source", **options)
-    return arrange(docs, mixed)
+    mixed = mix(wrapped, doc_id="mix_doc_id", text="mix_text", source="mix_source", carry=["row"], **options)
+    return arrange(mixed)

@@ -115,7 +115,7 @@ def mix_sql(documents: str = "documents") -> str:
 
 @register(f"SELECT doc_id, size, source_size, target, taken, first_position, second_position FROM ({mix_sql()})")
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     rows = mixed.select(
         "doc_id", "size", "source_size", "target", "taken",
         F.get("positions", F.lit(0)).alias("first_position"), F.get("positions", F.lit(1)).alias("second_position"),
@@ -181,7 +181,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return shards.shard(documents, SHARDS).select(
+    return shards.shard(documents, SHARDS, carry=["doc_id"]).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "next_shard"
     )
 
@@ -227,7 +227,7 @@ def document_files(documents: DataFrame) -> DataFrame:
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = document_files(table(spark, sf_dir, "documents"))
     templates = spark.createDataFrame(LICENSE_TEMPLATES, "license string, text string")
-    return licenses.scan_licenses(files, templates).select(
+    return licenses.scan_licenses(files, templates, carry=["doc_id", "path"]).select(
         "doc_id", "path", "header_license", "header_score", "inherited_license", "inherited_from", "license"
     )
 

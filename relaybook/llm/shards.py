@@ -7,12 +7,13 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relaybook.llm.common import columns, without
+from relaybook.llm.common import carried
 from relaybook.session import work_dir
 
 #: Slots never change in number, so a map has this many rows at most, whatever the data.
 SLOTS = 8192
 OVERHEAD = 16
+ADDED = ("size", "text_crc32", "law", "virtual_slot", "shard", "slot", "grown_shard", "next_shard")
 
 
 class SlotMap:
@@ -100,7 +101,7 @@ def rebalanced(shard_of: list[int], slot_bytes: list[int], shards: int, slack: f
 
 def shard(
     docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text",
-    slot_map: SlotMap | None = None, version: int | None = None,
+    slot_map: SlotMap | None = None, version: int | None = None, carry: list[str] | None = None,
 ) -> DataFrame:
     """Documents with ``size``, ``text_crc32``, ``law``, ``virtual_slot``, ``shard``, ``slot``,
     ``grown_shard`` and ``next_shard``.
@@ -116,12 +117,14 @@ def shard(
     are numbered in thousands of groups. Only rows equal in id and text always share a slot.
 
     A null text has no bytes (size 16, crc 0); null ids are hashed like a value. An empty table
-    gives an empty one. Columns of the input with the names of result columns are replaced.
+    gives an empty one. ``carry`` names the columns of ``docs`` to return (default: all); texts that
+    are not carried are not shuffled. Columns of the input with the names of result columns are
+    replaced.
     """
     spark = docs.sparkSession
     whole = F.coalesce(F.col(text), F.lit(""))
     records = docs.select(
-        F.struct(*columns(docs)).alias("row"), F.col(doc_id).alias("id"),
+        carried(docs, carry, *ADDED).alias("row"), F.col(doc_id).alias("id"),
         (F.octet_length(whole) + OVERHEAD).cast("long").alias("size"),
         F.crc32(whole).alias("text_crc32"),
         F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(SLOTS)).cast("int").alias("virtual_slot"),
@@ -154,7 +157,4 @@ def shard(
     placed = records.join(F.broadcast(places), "virtual_slot").withColumn(
         "slot", F.col("first") + F.row_number().over(numbered) - 1
     ).withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
-    added = ("size", "text_crc32", "law", "virtual_slot", "shard", "slot", "grown_shard",
-             "next_shard")
-    kept = without(docs, *added).columns
-    return placed.select(*[F.col("row")[name].alias(name) for name in kept], *added)
+    return placed.select("row.*", *ADDED)
