@@ -12,11 +12,15 @@ def long_bytes(number: Column) -> Column:
 
 
 def int_bytes(number: Column) -> Column:
-    """Four bytes, the form of a plain integer cell; a wider number keeps its low four.
+    """Four bytes, the form of a plain integer cell; a number that needs more is an error.
 
     Eight and four bytes do not mix: a counter can not go on from such a cell.
     """
-    return F.unhex(F.right(F.lpad(F.hex(number.cast("bigint")), 16, "0"), F.lit(8)))
+    wide = number.cast("bigint")
+    low = F.unhex(F.right(F.lpad(F.hex(wide), 16, "0"), F.lit(8)))
+    return F.when(wide.between(-(2**31), 2**31 - 1), low).when(
+        wide.isNotNull(), F.raise_error(F.concat(F.lit("no 32-bit number: "), wide.cast("string")))
+    )
 
 
 def text_bytes(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +13,12 @@ from relaybook.schemas import CELL
 
 def int_cells(
     rows: DataFrame, row_key: Column, qualifier: Column, number: Column, ts: Column, seq: Column,
-    family: str = "f",
+    family: str = "f", encode: Callable[[Column], Column] = int_bytes,
 ) -> DataFrame:
-    """Cells that hold a plain integer in four bytes."""
+    """Cells that hold a plain integer in four bytes; ``long_bytes`` makes it eight."""
     return rows.select(
         row_key.alias("row_key"), F.lit(family).alias("family"), qualifier.alias("qualifier"),
-        int_bytes(number).alias("value"), ts.alias("ts"), seq.alias("seq"),
+        encode(number).alias("value"), ts.alias("ts"), seq.alias("seq"),
     )
 
 
@@ -40,9 +42,12 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CELL).parquet(path)
 
 
-def latest_cells(cells: DataFrame) -> DataFrame:
-    """The last version of each cell, by time and then by sequence."""
-    newest = F.max_by("value", F.struct("ts", "seq")).alias("value")
+def latest_cells(cells: DataFrame, order: tuple[str, ...] = ("ts", "seq")) -> DataFrame:
+    """The last version of each cell, by time and then by sequence.
+
+    Cells of one writer are better ordered by sequence first: its clock may step back.
+    """
+    newest = F.max_by("value", F.struct(*order)).alias("value")
     cell = ["row_key", "family", "qualifier"]
     # Spark sorts to group here; with a number first it rarely has to compare the texts.
     return cells.groupBy(F.xxhash64(*cell).alias("hash"), *cell).agg(newest).drop("hash")

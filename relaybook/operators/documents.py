@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 def document_lines(documents: DataFrame) -> DataFrame:
     """One line per document. A missing number reads 0 and a missing text ``null``."""
+    # The labels.
     line = F.concat(
         F.lit("id: "), _number("id"),
         F.lit("\ttype: "), _text("type"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from relaybook.functions import long_bytes
 from relaybook.operators.cells import int_cells
 from relaybook.operators.windows import windowed_count
 from relaybook.operators.words import top_words, values, word_count
@@ -84,15 +85,16 @@ def put_batch_words(
     messages: DataFrame, log: BatchLog, checkpoint: str, *, row_key: str = "Counter",
     family: str = "f", every: str | None = None,
 ) -> StreamingQuery:
-    """Put the word counts of every micro-batch as integer cells of one row.
+    """Put the word counts of every micro-batch as cells of one row, in eight bytes.
 
-    A put replaces: the latest cell of a word has its count in the last batch that held it.
+    A put replaces: the latest cell of a word has its count in the last batch that held it. The
+    batch id is the sequence, which orders the puts of one stream whatever its clock says.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
         counts = batch.transform(values).transform(word_count)
         now, seq = F.current_timestamp(), F.lit(batch_id).cast("bigint")
-        cells = int_cells(counts, F.lit(row_key), F.col("word"), F.col("n"), now, seq, family)
+        cells = int_cells(counts, F.lit(row_key), F.col("word"), F.col("n"), now, seq, family, long_bytes)
         log.add(cells, batch_id)
 
     return each_batch(messages.select("value"), put, checkpoint, every=every)
@@ -130,6 +132,11 @@ def keep_totals(
 
 
 def last_totals(log: BatchLog) -> DataFrame:
-    """The last logged total of each counter. A log has one writer, so its batches are in order."""
-    last = F.max_by("value", "batch_id").alias("value")
-    return log.read().groupBy("row_key", "qualifier").agg(last)
+    """The last logged total of each counter, summed over the writers of the log.
+
+    The batches of one writer are in order; a new checkpoint is a new writer, whose state began
+    empty, so its totals add to those of the others.
+    """
+    cell = ["row_key", "qualifier"]
+    last = log.read().groupBy(*cell, "writer_id").agg(F.max_by("value", "batch_id").alias("value"))
+    return last.groupBy(*cell).agg(F.sum("value").alias("value"))

@@ -25,7 +25,7 @@ _USER_EVENTS = """
     SELECT event_type AS row_key, '{family}' AS family, CAST(user_id AS VARCHAR) AS qualifier,
            {value} AS value
     FROM events {where} GROUP BY event_type, user_id"""
-_LAST_ID = "right(printf('%016X', arg_max(event_id, (ts, event_id))), 8)"
+_LAST_ID = "printf('%016X', arg_max(event_id, (ts, event_id)))"
 _LAST_PROPS = "arg_max(props, (ts, event_id))"
 
 
@@ -39,7 +39,7 @@ def _cells(events: DataFrame, value: Column, family: str = "f") -> DataFrame:
 
 
 def _id_cells(events: DataFrame) -> DataFrame:
-    return _cells(events, int_bytes(F.col("event_id")))
+    return _cells(events, long_bytes(F.col("event_id")))
 
 
 def _props_cells(events: DataFrame, family: str = "f") -> DataFrame:
@@ -92,7 +92,7 @@ def cell_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH first AS (SELECT word, count(*) AS n FROM ({sql_words("props", "events")}) GROUP BY word),
          later AS (SELECT word, count(*) AS n FROM ({sql_words("text", "conversations")}) GROUP BY word)
     SELECT 'Counter' AS row_key, 'f' AS family, word AS qualifier,
-           right(printf('%016X', coalesce(later.n, first.n)), 8) AS value
+           printf('%016X', coalesce(later.n, first.n)) AS value
     FROM first FULL JOIN later USING (word)""")
 def stream_cell_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts of two batches put one over the other; each landed table is one batch."""
@@ -103,11 +103,9 @@ def stream_cell_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         chat_messages(table(spark, sf_dir, "conversations")),
     ):
         landed.write.mode("append").parquet(f"{folder}/landing")
-        messages = read_messages(
-            spark, ["devices", "chat"], path=f"{folder}/landing", stream=True, batch_bytes=None
-        )
+        messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
         finish(put_batch_words(messages, log, f"{folder}/checkpoint"))
-    return latest_cells(log.read()).withColumn("value", F.hex("value"))
+    return latest_cells(log.read(), ("seq", "ts")).withColumn("value", F.hex("value"))
 
 
 @query("""

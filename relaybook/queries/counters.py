@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,9 +129,11 @@ def counter_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.totals()
 
 
-@query("SELECT CAST((SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) AS BIGINT) AS n")
+@query("""
+    SELECT 0::BIGINT AS batch_id, count(*) AS n FROM events
+    UNION ALL SELECT 1, count(*) FROM conversations""")
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages counted per micro-batch, summed up over a stream that was restarted."""
+    """The messages of each micro-batch of a stream that was restarted."""
     folder = work_dir(spark, "stream_batch_counts")
     log = BatchLog(spark, f"{folder}/counts", BATCH_COUNT)
     for landed in (
@@ -139,14 +143,14 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed.write.mode("append").parquet(f"{folder}/landing")
         messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
         finish(count_batches(messages, log, f"{folder}/checkpoint"))
-    return log.read().agg(F.sum("n").alias("n"))
+    return log.read().select("batch_id", "n")
 
 
 @query(f"""
-    SELECT word, count(*) AS n
-    FROM ({sql_words('props', 'events')} UNION ALL {_CHAT_WORDS}) GROUP BY word""")
+    SELECT 0::BIGINT AS batch_id, word, count(*) AS n FROM ({sql_words('props', 'events')}) GROUP BY word
+    UNION ALL SELECT 1, word, count(*) FROM ({_CHAT_WORDS}) GROUP BY word""")
 def stream_batch_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The word counts of single micro-batches, summed up over all of them."""
+    """The word counts of each micro-batch by itself."""
     folder = work_dir(spark, "stream_batch_words")
     log = BatchLog(spark, f"{folder}/counts", BATCH_WORDS)
     for landed in (
@@ -156,31 +160,30 @@ def stream_batch_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed.write.mode("append").parquet(f"{folder}/landing")
         messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
         finish(count_batch_words(messages, log, f"{folder}/checkpoint", show=0))
-    return log.read().groupBy("word").agg(F.sum("n").alias("n"))
+    return log.read().select("batch_id", "word", "n")
 
 
 @query(_CHATS_AND_EVENTS)
 def counter_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same totals kept in a stream's state, with every change logged."""
+    """The same totals kept in streams' states, with every change logged by two checkpoints."""
     folder = work_dir(spark, "counter_stream_state")
     log = totals_log(spark, f"{folder}/totals")
-    for landed in (
-        event_messages(table(spark, sf_dir, "events")),
-        chat_messages(table(spark, sf_dir, "conversations")),
+    for stream, name in (
+        (event_messages(table_stream(spark, sf_dir, "events")), "events"),
+        (chat_messages(table_stream(spark, sf_dir, "conversations")), "conversations"),
     ):
-        landed.write.mode("append").parquet(f"{folder}/landing")
-        messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
-        finish(keep_totals(_key_name(messages), log, f"{folder}/checkpoint"))
+        finish(keep_totals(_key_name(stream), log, f"{folder}/{name}"))
     return last_totals(log)
 
 
 @query(_counter_sql(f"{_DOCUMENT_WORDS} UNION ALL {_CHAT_WORDS}"))
 def counter_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals made of a snapshot and of what was counted after it."""
+    """Totals made of a snapshot and of what was counted after it, with a stream started again."""
     folder = work_dir(spark, "counter_compaction")
     counters = Counters(spark, folder)
     _count_documents(spark, sf_dir, counters, folder)
-    counters.compact()
+    counters.compact(grace=timedelta())
+    _count_documents(spark, sf_dir, counters, folder)
     _count_chats(spark, sf_dir, counters, folder)
     return counters.totals()
 
@@ -215,6 +218,6 @@ def counter_wide_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "counter_wide_row")
     counters = Counters(spark, folder)
     _count_chats(spark, sf_dir, counters, folder)
-    return wide_rows(counters.totals(), part_cells=1000).select(
+    return wide_rows(counters.totals(), parts=20).select(
         "row_key", F.explode("cells").alias("qualifier", "value")
     )

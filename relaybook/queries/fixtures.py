@@ -17,11 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def table_stream(
     spark: SparkSession, sf_dir: str, name: str, batch_bytes: int | None = BATCH_BYTES
 ) -> DataFrame:
-    """The same table as a stream; a table is one file or a folder, and the pattern takes both."""
+    """The same table as a stream; a table is one file or a folder.
+
+    A stream takes a pattern for both; this one fits the exact name and nothing beside it.
+    """
     reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
     if batch_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", batch_bytes)
-    return reader.parquet(f"{sf_dir}/{name}.parquet*")
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def device_topics(events: DataFrame) -> DataFrame:

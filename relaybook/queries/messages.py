@@ -117,7 +117,7 @@ def key_partition_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, _ = split_rejects(numbered)
     splits = 4
     there = (F.spark_partition_id() / splits).cast("int")
-    moved = place(kept, _PARTITIONS, splits=splits).select("partition", there.alias("there"))
+    moved = place(kept, _PARTITIONS, splits=splits, salt="event_id").select("partition", there.alias("there"))
     return moved.groupBy("partition").agg(
         F.count("*").alias("n"), F.count_if(F.col("there") == F.col("partition")).alias("placed")
     )
@@ -196,6 +196,18 @@ def replay_fanout_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT 'replay' AS topic, CAST(k AS VARCHAR) AS "key", n, chars
+    FROM (SELECT count(*) AS n, CAST(sum(strlen(props)) AS BIGINT) AS chars FROM events),
+         range(1000) AS r(k)""")
+def replay_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message, sent on in all of 1000 copies, summed up per key."""
+    copies = replay_bridge(landed_events(table(spark, sf_dir, "events")), "replay")
+    return copies.groupBy("topic", "key").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("chars")
+    )
+
+
 @query("""
     WITH picked AS (
         SELECT event_id, props, ts, list_extract([{vins}], CAST(event_id % 3 AS INTEGER) + 1) AS vin FROM events)

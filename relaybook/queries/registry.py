@@ -26,8 +26,12 @@ def query(sql: str) -> Callable[[Run], Run]:
         @functools.wraps(run)
         def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
             # The tables hold times without a zone, and the SQL reads them as UTC.
+            zone = spark.conf.get("spark.sql.session.timeZone")
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir)
+            try:
+                return run(spark, sf_dir)
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
 
         REGISTRY[run.__name__] = Query(in_utc, sql)
         return run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from relaybook.sources import read_lines, read_table, typed_columns
 from relaybook.streaming.sinks import write_lines
 
 _LINES = """
-    SELECT CAST(doc_id AS INTEGER) AS id,
+    SELECT doc_id AS id,
            concat('id: ', doc_id, chr(9), 'type: ', coalesce(lang, 'null'),
                   chr(9), 'authors: ', coalesce(source, 'null'),
                   chr(9), 'title: ', coalesce(split_part(text, chr(10), 1), 'null'),
@@ -23,13 +25,17 @@ _LINES = """
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents under the name ``doc1`` in the catalog, read back by position."""
+    """The documents under a name in the catalog, read back by position."""
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "source", F.substring_index("text", "\n", 1),
         (F.lit(2000) + F.col("doc_id") % 25).cast("string"),
     )
-    rows.createOrReplaceTempView("doc1")
-    return typed_columns(read_table(spark, "doc1"), DOCUMENT)
+    name = f"doc1_{uuid.uuid4().hex}"
+    rows.createTempView(name)
+    try:
+        return typed_columns(read_table(spark, name), DOCUMENT)
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 @query(_LINES)

@@ -60,7 +60,7 @@ CELL = StructType([
 
 # The document table read by position.
 DOCUMENT = StructType([
-    StructField("id", IntegerType()),
+    StructField("id", LongType()),
     StructField("type", StringType()),
     StructField("authors", StringType()),
     StructField("title", StringType()),

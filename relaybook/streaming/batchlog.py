@@ -12,6 +12,7 @@ own folder, which nobody reads before it is done.
 from __future__ import annotations
 
 import re
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,26 @@ class BatchLog:
         if not re.fullmatch(r"[A-Za-z0-9_-]+", writer):
             raise ValueError("a writer id has only letters, digits, '-' and '_'")
         spot = _spot(writer, batch_id)
-        if not self._read(f"done/{spot}", _DONE_AT).isEmpty():
+        if self.is_done(batch_id, writer):
             return False
         rows.select(self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/data/{spot}")
         done = rows.sparkSession.range(1).select(F.current_timestamp().alias("done_at"))
         done.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/done/{spot}")
         return True
 
+    def is_done(self, batch_id: int, writer_id: str) -> bool:
+        return not self._read(f"done/{_spot(writer_id, batch_id)}", _DONE_AT).isEmpty()
+
+    def forget(self, covered: dict[str, int], grace: timedelta) -> None:
+        """Remove batches up to those named for each writer, if done longer than ``grace`` ago."""
+        old = F.col("done_at") <= F.current_timestamp() - F.lit(grace)
+        for mark in self._read("done", _DONE).where(old).select("writer_id", "batch_id").collect():
+            if mark["batch_id"] <= covered.get(mark["writer_id"], -1):
+                spot = _spot(mark["writer_id"], mark["batch_id"])
+                # Data without a mark is never read, so a stop in between does no harm.
+                remove(self.spark, f"{self.root}/done/{spot}")
+                remove(self.spark, f"{self.root}/data/{spot}")
+
     def batch(self, batch_id: int, writer_id: str | None = None) -> DataFrame:
         """The rows of one batch, which may be the one that is running."""
         writer = writer_id or query_id(self.spark)
@@ -93,6 +107,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return no_rows(spark, schema)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder by Hadoop's file system, which reaches every store that Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty table that takes no task to read."""
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]

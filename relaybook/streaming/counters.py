@@ -1,7 +1,8 @@
 """Running counters, exact under restarts and repeated batches.
 
 Every micro-batch adds its increments to a :class:`BatchLog`; a total is the sum of all of them.
-``compact`` folds the log so far into a snapshot, after which reads start from that::
+``compact`` folds the log so far into a snapshot, after which reads start from that, and removes
+what the snapshot holds, so that reading does not slow down with the batches of the past::
 
     <root>/table=<t>/family=<f>/data, done           the increments
     <root>/table=<t>/family=<f>/snapshots/totals     totals of each snapshot
@@ -13,12 +14,14 @@ counters.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from relaybook.schemas import INCREMENT, TOTAL
-from relaybook.streaming.batchlog import BatchLog, no_rows, read_or_empty
+from relaybook.streaming.batchlog import BatchLog, no_rows, query_id, read_or_empty, remove
 
 _AS_OF = StructField("as_of", LongType())
 _COVERED = StructType([StructField("writer_id", StringType()), StructField("last", LongType())])
@@ -31,9 +34,19 @@ class Counters:
         self.log = BatchLog(spark, self.root, INCREMENT)
 
     def add(self, increments: DataFrame, batch_id: int, writer_id: str | None = None) -> bool:
-        """Add the increments ``(row_key, qualifier, delta)`` of one batch; False if already added."""
+        """Add the increments ``(row_key, qualifier, delta)`` of one batch; False if already added.
+
+        A writer's batches come in order, so the last one that a snapshot covers may be repeated
+        (and then adds nothing), while an earlier one that left no mark is an error.
+        """
+        writer = writer_id or query_id(increments.sparkSession)
+        last = self._snapshot()[1].get(writer)
+        if last is not None and batch_id <= last and not self.log.is_done(batch_id, writer):
+            if batch_id < last:
+                raise ValueError(f"batch {batch_id} comes after batch {last} was folded into a snapshot")
+            return False
         summed = increments.groupBy("row_key", "qualifier").agg(F.sum("delta").alias("delta"))
-        return self.log.add(summed, batch_id, writer_id)
+        return self.log.add(summed, batch_id, writer)
 
     def totals(self) -> DataFrame:
         """All counters as ``(row_key, qualifier, value)``."""
@@ -49,15 +62,24 @@ class Counters:
         found = wanted.join(self.totals(), ["row_key", "qualifier"], "left")
         return found.select("row_key", "qualifier", F.coalesce("value", F.lit(0)).alias("value"))
 
-    def compact(self) -> None:
+    def compact(self, grace: timedelta = timedelta(hours=1)) -> None:
         """Fold what is done so far into a snapshot. Run one at a time; writers may go on.
 
-        Its files are sorted, so that asking for some rows skips most of each.
+        Its files are sorted, so that asking for some rows skips most of each. Batches that it covers
+        and that were done longer than ``grace`` ago are removed, and so are snapshots before the
+        last one (with no grace, that too): ``grace`` is how long a reader may take.
         """
         as_of, covered = self._snapshot()
         fresh = self.log.done(covered)
         totals = self._totals(as_of, fresh).sortWithinPartitions("row_key", "qualifier")
-        self._publish(totals, as_of + 1, covered, fresh)
+        last = self._publish(totals, as_of + 1, covered, fresh)
+        self.log.forget(last, grace)
+        for old in range(as_of - 1 if grace else as_of, 0, -1):
+            # The list of what it covers goes last, as it came last.
+            gone = [remove(self.spark, f"{self.root}/snapshots/{part}/as_of={old}")
+                    for part in ("totals", "covered")]
+            if not any(gone):
+                break
 
     def reset(self) -> None:
         """Start all counters from 0 again: an empty snapshot that covers what is done so far."""
@@ -86,31 +108,28 @@ class Counters:
 
     def _publish(
         self, totals: DataFrame, as_of: int, covered: dict[str, int], fresh: dict[str, list[int]]
-    ) -> None:
+    ) -> dict[str, int]:
         folder = f"{self.root}/snapshots"
         totals.write.mode("overwrite").parquet(f"{folder}/totals/as_of={as_of}")
         # A query finishes one batch before it starts the next, so the last one stands for all.
         last = {**covered, **{writer: max(batches) for writer, batches in fresh.items()}}
         rows = self.spark.createDataFrame(sorted(last.items()), _COVERED)
         rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/covered/as_of={as_of}")
+        return last
 
 
-def wide_rows(totals: DataFrame, part_cells: int = 100_000) -> DataFrame:
-    """Each row as a map of qualifier to value, in parts of about ``part_cells`` where it is wide.
+def wide_rows(totals: DataFrame, parts: int = 16) -> DataFrame:
+    """Each row as maps of qualifier to value, in ``parts`` parts at most.
 
-    A row key can hold any number of qualifiers, so the widest rows get more parts; together these
-    hold every qualifier once. At most one row in ``part_cells`` cells is that wide, and Spark
-    broadcasts the list of them only once it has seen that it is small.
+    A row key can hold any number of qualifiers, so its qualifiers are dealt by hash to ``parts``
+    maps, which together hold each once; a part without any is left out. The shape is the same at
+    every size: choose ``parts`` for the widest row.
     """
-    if part_cells < 1:
-        raise ValueError("a part must hold at least one cell")
-    sizes = totals.groupBy("row_key").agg(F.count("*").alias("cells"))
-    parts = F.ceil(F.col("cells") / part_cells).alias("parts")
-    wide = sizes.where(F.col("cells") > part_cells).select("row_key", parts)
-    spread = totals.join(wide, "row_key", "left")
-    part = F.pmod(F.xxhash64("qualifier"), F.coalesce("parts", F.lit(1))).alias("part")
+    if parts < 1:
+        raise ValueError("there must be at least one part")
+    part = F.pmod(F.xxhash64("qualifier"), F.lit(parts)).alias("part")
     entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))
-    return spread.groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))
+    return totals.groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))
 
 
 def increments(counts: DataFrame, qualifier: str, row_key: str = "Counter", n: str = "n") -> DataFrame:

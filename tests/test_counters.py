@@ -1,5 +1,7 @@
 import os
 import random
+from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +89,43 @@ def test_snapshot(spark, folder):
     assert totals(counters) == expected
 
 
+def test_a_late_batch_is_refused_after_compaction(spark, folder):
+    counters = Counters(spark, folder)
+    counters.add(increments(spark, ("r", "a", 1)), 5, "w")
+    counters.compact(grace=timedelta())
+    with pytest.raises(ValueError):
+        counters.add(increments(spark, ("r", "a", 10)), 3, "w")
+    assert not counters.add(increments(spark, ("r", "a", 1)), 5, "w")
+    assert counters.add(increments(spark, ("r", "a", 100)), 6, "w")
+    assert totals(counters) == {("r", "a"): 101}
+
+
+def test_compaction_removes_what_it_covers(spark, folder):
+    """What a reader lists after a compaction does not grow with the batches before it."""
+    counters = Counters(spark, folder)
+    for turn in range(3):
+        for batch in range(4):
+            counters.add(increments(spark, ("r", "a", 1)), 4 * turn + batch, "w")
+        counters.compact(grace=timedelta())
+        assert counters.log.done() == {}
+        assert not list(Path(counters.root).glob("data/*/batch_id=*"))
+        assert len(list(Path(counters.root).glob("snapshots/*/as_of=*"))) == 2
+    assert totals(counters) == {("r", "a"): 12}
+    counters.add(increments(spark, ("r", "a", 1)), 12, "w")
+    counters.compact()
+    assert counters.log.done({}) == {"w": [12]}
+    assert totals(counters) == {("r", "a"): 13}
+
+
+def test_totals_of_two_checkpoints(spark, folder):
+    log = totals_log(spark, f"{folder}/totals")
+    for name, delta in (("one", 12), ("two", 100)):
+        land(spark, f"{folder}/{name}", ("r", "a", delta))
+        stream = read_files(spark, f"{folder}/{name}", INCREMENT, stream=True)
+        finish(keep_totals(stream, log, f"{folder}/checkpoint-{name}"))
+    assert [r["value"] for r in last_totals(log).collect()] == [112]
+
+
 def test_a_snapshot_without_its_last_step_is_not_used(spark, folder):
     counters = Counters(spark, folder)
     counters.add(increments(spark, ("r", "a", 1)), 0, "w")
@@ -145,13 +184,15 @@ def test_lookup(spark, folder):
 def test_wide_rows(spark):
     rows = [("r", f"q{i}", i) for i in range(200)] + [("s", "q", 1), ("s", "p", 2)]
     found = spark.createDataFrame(rows, "row_key string, qualifier string, value bigint")
-    parts = wide_rows(found, part_cells=30).collect()
+    parts = wide_rows(found, parts=7).collect()
     assert sum(p["row_key"] == "r" for p in parts) == 7
-    assert sum(p["row_key"] == "s" for p in parts) == 1
+    assert sum(p["row_key"] == "s" for p in parts) <= 2
     assert sorted((p["row_key"], q, v) for p in parts for q, v in p["cells"].items()) == sorted(rows)
-    assert len(wide_rows(found).collect()) == 2
+    assert len(wide_rows(found, parts=1).collect()) == 2
+    plan = wide_rows(found)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
     with pytest.raises(ValueError):
-        wide_rows(found, part_cells=0)
+        wide_rows(found, parts=0)
 
 
 def test_restart_and_lost_commit(spark, folder):

@@ -239,9 +239,14 @@ def test_int_bytes(spark):
     assert [bytes(b) for b in found] == [n.to_bytes(4, "big", signed=True) for n in NUMBERS]
 
 
-def test_int_bytes_of_wide_numbers(spark):
-    assert [bytes(b) for b in apply(spark, [2**32 + 1, 2**31], "bigint", int_bytes)] == [
-        b"\0\0\0\1", b"\x80\0\0\0"]
+@pytest.mark.parametrize("number", [2**31, -(2**31) - 1, 2**32 + 7])
+def test_int_bytes_of_wide_numbers(spark, number):
+    with pytest.raises(Exception, match="no 32-bit number"):
+        apply(spark, [number], "bigint", int_bytes)
+
+
+def test_int_bytes_of_null(spark):
+    assert apply(spark, [None], "bigint", int_bytes) == [None]
 
 
 def test_long_bytes(spark):

@@ -76,7 +76,7 @@ def test_counters(spark, rows, folder):
     totals = counters.totals()
     assert {(r["row_key"], r["qualifier"]): r["value"] for r in totals.collect()} == {
         cell: 2 * value for cell, value in expected.items()}
-    parts = wide_rows(totals, part_cells=20).collect()
+    parts = wide_rows(totals, parts=5).collect()
     opened = [((p["row_key"], q), v) for p in parts for q, v in p["cells"].items()]
     assert len(opened) == len(expected) and dict(opened) == {c: 2 * v for c, v in expected.items()}
     assert sum(p["row_key"] == "hot" for p in parts) == 5
@@ -98,7 +98,7 @@ def test_windows(rows):
 
 def test_placement(rows):
     numbered = rows.select("id", F.when(F.col("key") == "hot", 1).otherwise(F.col("n") % 4).cast("int").alias("partition"))
-    spots = place(numbered, 4, splits=8).groupBy(F.spark_partition_id().alias("at"), "partition").count().collect()
+    spots = place(numbered, 4, splits=8, salt="id").groupBy(F.spark_partition_id().alias("at"), "partition").count().collect()
     assert sum(r["count"] for r in spots) == N
     assert all(r["at"] // 8 == r["partition"] for r in spots)
     hot = [r["count"] for r in spots if r["partition"] == 1]

@@ -88,7 +88,7 @@ def test_jdbc_arguments(spark):
 @pytest.mark.parametrize("splits", [1, 3])
 def test_place(spark, splits):
     numbered = spark.range(400).select("id", (F.col("id") % 5).cast("int").alias("partition"))
-    placed = place(numbered, 5, splits=splits).select("partition", F.spark_partition_id().alias("at"), "id")
+    placed = place(numbered, 5, splits=splits, salt="id").select("partition", F.spark_partition_id().alias("at"), "id")
     assert placed.rdd.getNumPartitions() == 5 * splits
     found = placed.collect()
     assert len(found) == 400
@@ -96,6 +96,20 @@ def test_place(spark, splits):
     assert len({r["at"] for r in found}) == 5 * splits
 
 
+def test_place_needs_numbers_and_a_salt(spark):
+    rows = spark.createDataFrame([(1, 0), (2, None)], "id int, partition int")
+    with pytest.raises(Exception, match="no partition"):
+        place(rows, 2).collect()
+    with pytest.raises(ValueError):
+        place(rows, 2, splits=2)
+
+
+def test_wide_ids_keep_their_value_and_order(spark):
+    rows = spark.createDataFrame([(3_000_000_000, "t", "a", "x", 2001), (7, "t", "a", "x", 2001)], DOCUMENT)
+    lines = document_lines(typed_columns(rows, DOCUMENT).orderBy("id")).collect()
+    assert [r["line"].split("\t")[0] for r in lines] == ["id: 7", "id: 3000000000"]
+
+
 def test_rejects(spark):
     rows = spark.createDataFrame([(1, 0), (2, None)], "id int, partition int")
     good, bad = split_rejects(rows)
