@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from relaybook.session import work_dir
 
@@ -61,10 +61,19 @@ def carried(rows: DataFrame, carry: list[str] | None, *added: str) -> Column:
 
 
 def map_arrow(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` whose tasks find this package where the driver has it, if it is there too."""
+    """``mapInArrow`` for columns of any name, whose tasks find this package if they have its folder."""
     environment = rows.sparkSession.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(":")
     if root not in paths:
         environment["PYTHONPATH"] = ":".join([*filter(None, paths), root])
-    return rows.mapInArrow(run, schema)
+    made = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    names, numbered = rows.columns, rows.toDF(*[f"c{n}" for n in range(len(rows.columns))])
+    places = [f"c{n}" for n in range(len(made))]
+    unnamed = StructType([StructField(n, f.dataType) for n, f in zip(places, made, strict=True)])
+
+    def renamed(batches):
+        for batch in run(batch.rename_columns(names) for batch in batches):
+            yield batch.rename_columns(places)
+
+    return numbered.mapInArrow(renamed, unnamed).toDF(*made.names)
