@@ -302,11 +302,13 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
     radius: int = RADIUS, most: int = BUCKET,
 ) -> DataFrame:
-    """Per row (doc_id, tie, fingerprint, component_id), with fingerprints as signed longs.
+    """Per row (doc_id, tie, fingerprint, component_id, class_fingerprint), with fingerprints as
+    signed longs.
 
     ``component_id`` is the smallest id that links lead to, a link being two fingerprints that differ
-    in ``radius`` bits or fewer. Equal fingerprints are compared once, whatever the number of copies.
-    ``tie`` is a hash of the text, to tell apart rows of one id.
+    in ``radius`` bits or fewer, and ``class_fingerprint`` is the smallest fingerprint of that class.
+    Equal fingerprints are compared once, whatever the number of copies. ``tie`` is a hash of the
+    text, to tell apart rows of one id.
 
     Null and empty texts have fingerprint 0, which links like any other. A null id is never the
     smallest; a class of null ids alone has a null ``component_id``. Rows that repeat are all kept.
@@ -324,14 +326,17 @@ def near_duplicates(
         "simhash-members",
     )
     smallest = members.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    linked = members.join(smallest, "label").select("fingerprint", "component_id")
-    # A class of null ids alone has no smallest id, so joined rows are told by a mark.
-    per_fingerprint = distinct.join(linked.withColumn("linked", F.lit(True)), "fingerprint", "left").select(
-        "fingerprint", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"),
-        F.coalesce(F.col("linked"), F.lit(False)).alias("linked"),
+    linked = members.join(smallest, "label").select("fingerprint", "component_id", "label")
+    # A class of null ids alone has no smallest id, so joined rows are told by their label.
+    smallest_id = F.when(F.col("label").isNotNull(), F.col("component_id")).otherwise(F.col("first_id"))
+    per_fingerprint = distinct.join(linked, "fingerprint", "left").select(
+        "fingerprint", smallest_id.alias("component_id"),
+        F.coalesce("label", "fingerprint").alias("class_fingerprint"),
     )
     known = stash(per_fingerprint, "simhash-components")
-    return marked.join(known, "fingerprint").select("doc_id", "tie", "fingerprint", "component_id")
+    return marked.join(known, "fingerprint").select(
+        "doc_id", "tie", "fingerprint", "component_id", "class_fingerprint"
+    )
 
 
 def hex_digits(fingerprint_column: Column) -> Column:
@@ -341,16 +346,17 @@ def hex_digits(fingerprint_column: Column) -> Column:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class, with its own columns: the one with the smallest id.
 
-    Of rows with that id, the one with the smallest hash of its text stays. A class of null ids alone
-    keeps one row for each of its fingerprints.
+    Of rows with that id, the one with the smallest hash of its text stays; so it is in a class of
+    null ids alone, which keeps one row as well.
     """
     found = stash(near_duplicates(docs, doc_id, text, **options), "simhash-found")
     chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # One row for each class; ids are unique as a rule, so this is a check by id only.
     repeated = not found.groupBy("doc_id", "tie").count().filter("count > 1").isEmpty()
-    keys = chosen.groupBy(
-        F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")
-    ).agg(F.min("tie").alias("tie")).select(F.col("component_id").alias("chosen_id"), F.col("tie").alias("chosen_tie"))
+    alone = F.when(F.col("component_id").isNull(), F.col("class_fingerprint")).alias("alone")
+    keys = chosen.groupBy(F.col("component_id").alias("chosen_id"), alone).agg(
+        F.min("tie").alias("chosen_tie")
+    ).select("chosen_id", "chosen_tie")
     whole = docs.select(
         F.struct(*columns(docs)).alias("row"), F.col(doc_id).alias("own_id"),
         F.xxhash64(F.col(text)).alias("own_tie"),

@@ -148,6 +148,15 @@ def test_simhash_edges(docs, none):
     assert sorted(r.doc_id for r in kept.filter("doc_id in (2, 3, 5, 7)").collect()) == [2, 7]
 
 
+def test_null_ids_keep_one_row_of_a_class(spark):
+    begin = " ".join(f"w{n}" for n in range(2000))
+    texts = [f"{begin} end{n}" for n in range(20)]
+    marks = {simhash.fingerprint(t.encode()) for t in texts}
+    assert len(marks) > 1 and all((a ^ b).bit_count() <= simhash.RADIUS for a in marks for b in marks)
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert simhash.one_of_each(docs).count() == 1
+
+
 # Decontamination --------------------------------------------------------------------------------
 
 
