@@ -33,29 +33,30 @@ def _idf(df: Column, documents: int) -> Column:
     return F.log((F.lit(documents) + 1.0) / (df + 1.0)) + 1.0
 
 
-def template_weights(templates: DataFrame, files: DataFrame, text: str) -> tuple[DataFrame, float]:
-    """(license, template, term, idf, weight) with weights of length 1, and the idf of unseen terms.
+def document_frequencies(files: DataFrame, text: str) -> tuple[DataFrame, int]:
+    """(term, df) of all terms of all files, written to disk, and the number of files.
 
-    The document frequency of a template's terms is counted over all files.
+    Tasks count their terms before the shuffle, so it carries vocabularies and no texts.
     """
+    found = F.array_distinct(terms(F.col(text)))
+    one = F.explode(F.concat(found, F.array(F.lit(None).cast("string"))))
+    seen = stash(files.select(one.alias("term")).groupBy("term").agg(F.count("*").alias("df")), "license-df")
+    documents = next((row.df for row in seen.filter("term IS NULL").collect()), 0)
+    return seen.filter("term IS NOT NULL"), documents
+
+
+def template_weights(templates: DataFrame, seen: DataFrame, documents: int) -> DataFrame:
+    """(license, template, term, idf, weight) with weights of length 1."""
     numbered = templates.filter(F.col("license").isNotNull()).select(
         "license", F.xxhash64("license", "text").alias("template"), F.explode(terms(F.col("text"))).alias("term")
     )
     counts = stash(numbered.groupBy("license", "template", "term").agg(F.count("*").alias("tf")),
                    "license-templates")
-    # The vocabulary of the templates: they are a parameter and do not grow with the files.
-    known = [row.term for row in counts.select("term").distinct().collect()]
-    texts = files.select(F.array_intersect(terms(F.col(text)), _strings(known)).alias("found"))
-    one = F.explode(F.concat(F.col("found"), F.array(F.lit(None).cast("string"))))
-    seen = stash(texts.select(one.alias("term")).groupBy("term").agg(F.count("*").alias("df")), "license-df")
-    documents = next((row.df for row in seen.filter("term IS NULL").collect()), 0)
     weighted = counts.join(seen, "term", "left").withColumn(
         "idf", _idf(F.coalesce("df", F.lit(0)), documents)
     ).withColumn("raw", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("license", "template")))
-    unseen = F.lit(0).cast("long")
-    top = files.sparkSession.range(1).select(_idf(unseen, documents).alias("idf")).first().idf
-    return weighted.select("license", "template", "term", "idf", (F.col("raw") / length).alias("weight")), top
+    return weighted.select("license", "template", "term", "idf", (F.col("raw") / length).alias("weight"))
 
 
 def _strings(values: list[str]) -> Column:
@@ -84,8 +85,8 @@ def scan_licenses(
 
     ``templates`` has (license, text). Every line and sentence of a file is a unit, and so is the whole
     text of a licence file; the best cosine of a unit and a template counts if it is ``threshold`` or
-    more, ties by name. A term of no template weighs as one never seen. Licence files give theirs to
-    the directory they are in (the best score, ties by name). A file without a licence of its own has
+    more, ties by name. Every term weighs by the number of files that hold it, be it of a template or
+    not. Licence files give theirs to the directory they are in (the best score, ties by name). A file without a licence of its own has
     that of the nearest directory at or above its own.
 
     Files are filtered by anchor terms inside the scan, so only the few texts that can match are
@@ -100,8 +101,8 @@ def scan_licenses(
     added = ("header_license", "header_score", "inherited_license", "inherited_from", "license")
     # Other files lie in directories and hold texts too, so only these two columns are looked at.
     plain = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
-    weights, unseen = template_weights(templates, plain, "text")
-    weights = stash(weights, "license-weights")
+    seen, documents = document_frequencies(plain, "text")
+    weights = stash(template_weights(templates, seen, documents), "license-weights")
     needed = [row.term for row in anchors(weights, threshold).collect()]
     able = plain.filter(F.arrays_overlap(terms(F.col("text")), _strings(needed)))
     marked = able.withColumn("file", _file(F.col("path"), F.col("text"))).withColumn("is_license", F.coalesce(
@@ -117,10 +118,8 @@ def scan_licenses(
     counted = unit_terms.select(
         "file", "path", "is_license", "unit", F.explode("terms").alias("term")
     ).groupBy("file", "path", "is_license", "unit", "term").agg(F.count("*").alias("tf"))
-    idfs = weights.select("term", "idf").distinct()
-    raw = counted.join(idfs, "term", "left").withColumn(
-        "raw", F.col("tf") * F.coalesce("idf", F.lit(unseen))
-    )
+    # A unit's terms are terms of its file, so each of them has been counted.
+    raw = counted.join(seen, "term").withColumn("raw", F.col("tf") * _idf(F.col("df"), documents))
     by_unit = ["file", "path", "is_license", "unit"]
     lengths = raw.groupBy(*by_unit).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
     products = raw.join(weights.select("term", "license", "template", "weight"), "term").groupBy(

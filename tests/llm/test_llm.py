@@ -438,6 +438,23 @@ def test_licenses(spark):
     assert all(r.license is None for r in licenses.scan_licenses(files, templates.filter("false")).collect())
 
 
+@pytest.mark.parametrize("times", [1, 30])
+def test_common_words_cost_a_header_little(spark, times):
+    """Frequencies are those of the files: the score is that of true TF-IDF and does not fall as files grow in number."""
+    header = "It is released under the MIT License."
+    rows = [(f"d/{n}", f"it is a story {n} that is told") for n in range(100 * times)]
+    rows += [(f"h/{n}", f"{header} it goes on {n}") for n in range(2 * times)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    templates = spark.createDataFrame(queries.LICENSE_TEMPLATES[:2], "license string, text string")
+    found = {r.path: r for r in licenses.scan_licenses(files, templates).collect()}
+    df = collections.Counter(t for _, text in rows for t in set(re.findall(r"[a-z0-9]+", text.lower())))
+    idf = {t: np.log((len(rows) + 1) / (n + 1)) + 1 for t, n in df.items()}
+    common, rare = (sum(idf[t] ** 2 for t in ts.split()) for ts in ("it is", "released under the mit license"))
+    assert found["h/0"].header_license == "MIT" and found["h/0"].header_score > 0.9
+    assert found["h/0"].header_score >= round(float(np.sqrt(rare / (rare + common))), 9) - 1e-8
+    assert found["d/0"].license is None
+
+
 def test_license_query(spark):
     stored = {r.doc_id: r.text for r in table(spark, SF_DIR, "documents").collect()}
     for row in queries.op8_license_scan(spark, SF_DIR).collect():
