@@ -347,16 +347,15 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """One document of each class, with its own columns: the one with the smallest id.
 
     Of rows with that id, the one with the smallest hash of its text stays; so it is in a class of
-    null ids alone, which keeps one row as well.
+    null ids alone, which keeps one row as well. Classes that share an id keep one row each.
     """
     found = stash(near_duplicates(docs, doc_id, text, **options), "simhash-found")
     chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # One row for each class; ids are unique as a rule, so this is a check by id only.
     repeated = not found.groupBy("doc_id", "tie").count().filter("count > 1").isEmpty()
-    alone = F.when(F.col("component_id").isNull(), F.col("class_fingerprint")).alias("alone")
-    keys = chosen.groupBy(F.col("component_id").alias("chosen_id"), alone).agg(
-        F.min("tie").alias("chosen_tie")
-    ).select("chosen_id", "chosen_tie")
+    keys = chosen.groupBy("class_fingerprint").agg(
+        F.min(F.struct("doc_id", "tie")).alias("least")
+    ).select(F.col("least.doc_id").alias("chosen_id"), F.col("least.tie").alias("chosen_tie"))
     whole = docs.select(
         F.struct(*columns(docs)).alias("row"), F.col(doc_id).alias("own_id"),
         F.xxhash64(F.col(text)).alias("own_tie"),

@@ -148,6 +148,14 @@ def test_simhash_edges(docs, none):
     assert sorted(r.doc_id for r in kept.filter("doc_id in (2, 3, 5, 7)").collect()) == [2, 7]
 
 
+def test_classes_that_share_an_id_keep_one_row_each(spark):
+    begin, other = (" ".join(f"{c}{n}" for n in range(400)) for c in "xy")
+    rows = [(0, begin), (0, other), (1, begin), (2, other), (2, other), (0, other), (3, f"{begin} {other}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.one_of_each(docs).collect()))
+    assert kept == [(0, begin), (0, other), (3, f"{begin} {other}")]
+
+
 def test_null_ids_keep_one_row_of_a_class(spark):
     begin = " ".join(f"w{n}" for n in range(2000))
     texts = [f"{begin} end{n}" for n in range(20)]
