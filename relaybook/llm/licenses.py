@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relaybook.llm.common import carried, stash
+from relaybook.llm.common import carried, let, stash
 
 THRESHOLD = 0.7
 #: Names of licence files, whose licence holds for their directory and those below it.
@@ -13,6 +15,11 @@ LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
 _TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: Where one header statement ends: a line, or a sentence.
 _UNIT = r"\n+|(?<=[.!?])[ \t\r]+"
+#: Where a paragraph ends (an empty line), and a run of lines with letters or digits.
+_PARAGRAPH = r"\n[ \t\r\n]*\n"
+_STANZA = r"\n[^A-Za-z0-9]*\n"
+#: Runs of a long template's length that begin within that length.
+STEPS = 32
 
 
 def terms(text: Column) -> Column:
@@ -46,7 +53,7 @@ def document_frequencies(files: DataFrame, text: str) -> tuple[DataFrame, int]:
 
 
 def template_weights(templates: DataFrame, seen: DataFrame, documents: int) -> DataFrame:
-    """(license, template, term, idf, weight) with weights of length 1."""
+    """(license, template, term, tf, idf, weight) with weights of length 1."""
     numbered = templates.filter(F.col("license").isNotNull()).select(
         "license", F.xxhash64("license", "text").alias("template"), F.explode(terms(F.col("text"))).alias("term")
     )
@@ -56,7 +63,7 @@ def template_weights(templates: DataFrame, seen: DataFrame, documents: int) -> D
         "idf", _idf(F.coalesce("df", F.lit(0)), documents)
     ).withColumn("raw", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("license", "template")))
-    return weighted.select("license", "template", "term", "idf", (F.col("raw") / length).alias("weight"))
+    return weighted.select("license", "template", "term", "tf", "idf", (F.col("raw") / length).alias("weight"))
 
 
 def _strings(values: list[str]) -> Column:
@@ -66,16 +73,84 @@ def _strings(values: list[str]) -> Column:
 def anchors(weights: DataFrame, threshold: float) -> DataFrame:
     """Terms of which a text must have one to reach the threshold with some template.
 
-    The lightest terms of a template whose weights together are shorter than the threshold can not
+    The commonest terms of a template whose weights together are shorter than the threshold can not
     reach it by themselves; all others are anchors.
     """
-    rising = Window.partitionBy("license", "template").orderBy("weight", "term")
+    rising = Window.partitionBy("license", "template").orderBy("idf", "term")
     below = F.sum(F.col("weight") * F.col("weight")).over(rising)
     return weights.withColumn("below", below).filter(
         F.col("below") >= threshold * threshold - 1e-9
     ).select("term").distinct()
 
 
+def shapes(rows: list) -> Column:
+    """The templates as an array of (license, template, size, known): number of terms, and their weights and idfs."""
+    made: dict[tuple, dict] = {}
+    for row in rows:
+        shape = made.setdefault((row.license, row.template), {
+            "license": row.license, "template": row.template, "size": 0, "known": {}})
+        shape["size"] += row.tf
+        shape["known"][row.term] = {"weight": row.weight, "idf": row.idf}
+    known = "map<string,struct<weight:double,idf:double>>"
+    kind = f"array<struct<license:string,template:bigint,size:int,known:{known}>>"
+    return F.from_json(F.lit(json.dumps(list(made.values()))), kind)
+
+
+def coverage(shape: Column, words: Column) -> Column:
+    """The squared weights of a template's terms that are among words.
+
+    No text scores more with the template than the root of this.
+    """
+    known = shape["known"]
+    met = F.array_intersect(F.map_keys(known), words)
+    return F.aggregate(met, F.lit(0.0), lambda total, term: total + F.pow(F.element_at(known, term)["weight"], F.lit(2)))
+
+
+def bound(shape: Column, words: Column) -> Column:
+    """What words score with a template at most: each word that is not of it weighs 1 at least, as idfs do."""
+    met = F.transform(F.array_intersect(F.map_keys(shape["known"]), words), lambda term: F.struct(
+        F.size(F.filter(words, lambda word: word == term)).cast("double").alias("n"),
+        F.element_at(shape["known"], term).alias("of"),
+    ))
+    zero = F.struct(*[F.lit(0.0).alias(name) for name in ("product", "square", "n")])
+    sums = F.aggregate(met, zero, lambda total, term: F.struct(
+        (total["product"] + term["n"] * term["of"]["idf"] * term["of"]["weight"]).alias("product"),
+        (total["square"] + F.pow(term["n"] * term["of"]["idf"], F.lit(2))).alias("square"),
+        (total["n"] + term["n"]).alias("n"),
+    ))
+    return let(sums, lambda s: s["product"] / F.sqrt(F.greatest(s["square"] + F.size(words) - s["n"], F.lit(1.0))))
+
+
+def able_unit(shape: Column, words: Column, threshold: float) -> Column:
+    return (coverage(shape, words) >= threshold * threshold - 1e-9) & (bound(shape, words) >= threshold - 1e-9)
+
+
+def blocks(text: Column, is_license: Column) -> Column:
+    """Terms of the parts of a text: lines and sentences, paragraphs, runs of lines with letters, and
+    a licence file as a whole."""
+    whole = F.when(is_license, F.array(text)).otherwise(F.array().cast("array<string>"))
+    parts = F.array_union(F.array_union(F.split(text, _UNIT), F.split(text, _PARAGRAPH)),
+                          F.array_union(F.split(text, _STANZA), whole))
+    return F.transform(parts, terms)
+
+
+def windows(shape: Column, words: Column, threshold: float) -> Column:
+    """Runs of words as long as the template that begin with a term of it and may reach the threshold.
+
+    They are taken wherever they lie, over the ends of lines and sentences and inside of these. A run
+    begins at every place, for templates of over ``2 * STEPS`` terms at every n-th, so that a template
+    is met but for one in ``STEPS`` of its terms at most.
+    """
+    size = shape["size"]
+    every = F.greatest(F.lit(1), F.floor(size / STEPS).cast("int"))
+    places = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.size(words), every)).otherwise(
+        F.array().cast("array<int>")
+    )
+    begun = F.filter(places, lambda at: (every > 1) | F.map_contains_key(shape["known"], F.get(words, at - 1)))
+    met = F.filter(begun, lambda at: able_unit(shape, F.slice(words, at, size), threshold))
+    return F.transform(met, lambda at: F.slice(words, at, size))
+
+
 def scan_licenses(
     files: DataFrame, templates: DataFrame, path: str = "path", text: str = "text",
     threshold: float = THRESHOLD, carry: list[str] | None = None,
@@ -83,14 +158,16 @@ def scan_licenses(
     """Files with ``header_license``, ``header_score``, ``inherited_license``, ``inherited_from`` and
     ``license``.
 
-    ``templates`` has (license, text). Every line and sentence of a file is a unit, and so is the whole
-    text of a licence file; the best cosine of a unit and a template counts if it is ``threshold`` or
-    more, ties by name. Every term weighs by the number of files that hold it, be it of a template or
+    ``templates`` has (license, text). Every line, sentence and paragraph of a file is a unit, so is
+    the whole text of a licence file, and so is every run of words as long as the template, over the
+    ends of lines and inside of them (``windows``); the best cosine of a unit and a template counts if
+    it is ``threshold`` or more, ties by name. Every term weighs by the number of files that hold it, be it of a template or
     not. Licence files give theirs to the directory they are in (the best score, ties by name). A file without a licence of its own has
     that of the nearest directory at or above its own.
 
-    Files are filtered by anchor terms inside the scan, so only the few texts that can match are
-    split, and only their terms are shuffled. Directories are resolved once each.
+    Files are filtered by anchor terms inside the scan, then files and units by how much of a template
+    they hold; both are bounds of the cosine, so no match is lost. Only terms of units that can match
+    are shuffled. Directories are resolved once each.
 
     Null and empty texts have no header. A null path has no directory and inherits nothing; the
     licence in such a row still counts for itself. Rows with one path and text are scanned once and
@@ -107,28 +184,27 @@ def scan_licenses(
     able = plain.filter(F.arrays_overlap(terms(F.col("text")), _strings(needed)))
     marked = able.withColumn("file", _file(F.col("path"), F.col("text"))).withColumn("is_license", F.coalesce(
         F.regexp_like(F.substring_index("path", "/", -1), F.lit(LICENSE_FILE)), F.lit(False)
+    )).withColumn("words", terms(F.col("text")))
+    # The templates are a parameter and do not grow with the files.
+    templated, floor = shapes(weights.collect()), threshold * threshold - 1e-9
+    pairs = marked.withColumn("shape", F.explode(
+        F.filter(templated, lambda shape: coverage(shape, F.col("words")) >= floor)
     ))
-    units = F.array_union(
-        F.split("text", _UNIT),
-        F.when(F.col("is_license"), F.array(F.col("text"))).otherwise(F.array().cast("array<string>")),
-    )
-    unit_terms = marked.select("file", "path", "is_license", F.explode(units).alias("unit")).select(
-        "file", "path", "is_license", F.xxhash64("unit").alias("unit"), terms(F.col("unit")).alias("terms")
-    ).filter(F.arrays_overlap("terms", _strings(needed)))
-    counted = unit_terms.select(
-        "file", "path", "is_license", "unit", F.explode("terms").alias("term")
-    ).groupBy("file", "path", "is_license", "unit", "term").agg(F.count("*").alias("tf"))
+    shape = F.col("shape")
+    near = F.filter(blocks(F.col("text"), F.col("is_license")), lambda block: able_unit(shape, block, threshold))
+    runs = windows(shape, F.col("words"), threshold)
+    units = pairs.select("file", "path", "is_license", "shape.license", "shape.template", F.explode(
+        F.array_distinct(F.concat(near, runs))).alias("terms"))
+    by_unit = ["file", "path", "is_license", "license", "template", "unit"]
+    counted = units.withColumn("unit", F.xxhash64("terms")).withColumn("term", F.explode("terms")).groupBy(
+        *by_unit, "term"
+    ).agg(F.count("*").alias("tf"))
     # A unit's terms are terms of its file, so each of them has been counted.
     raw = counted.join(seen, "term").withColumn("raw", F.col("tf") * _idf(F.col("df"), documents))
-    by_unit = ["file", "path", "is_license", "unit"]
-    lengths = raw.groupBy(*by_unit).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    products = raw.join(weights.select("term", "license", "template", "weight"), "term").groupBy(
-        *by_unit, "license", "template"
-    ).agg(F.sum(F.col("raw") * F.col("weight")).alias("product"))
-    scored = products.alias("p").join(
-        lengths.alias("l"),
-        (F.col("p.file") == F.col("l.file")) & (F.col("p.unit") == F.col("l.unit")),
-    ).select("p.file", "p.path", "p.is_license", "p.license", (F.col("product") / F.col("length")).alias("score"))
+    weighed = raw.join(weights.select("license", "template", "term", "weight"), ["license", "template", "term"], "left")
+    scored = weighed.groupBy(*by_unit).agg(
+        (F.sum(F.col("raw") * F.coalesce("weight", F.lit(0.0))) / F.sqrt(F.sum(F.col("raw") * F.col("raw")))).alias("score")
+    )
     # Rounded, so that the order of a sum does not decide a tie.
     best = scored.withColumn("score", F.round(F.least("score", F.lit(1.0)), 9)).filter(
         F.col("score") >= threshold

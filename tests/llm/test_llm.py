@@ -463,6 +463,29 @@ def test_common_words_cost_a_header_little(spark, times):
     assert found["d/0"].license is None
 
 
+def test_headers_of_several_lines_and_within_lines(spark):
+    notices = {name: text for name, text in queries.LICENSE_TEMPLATES if "\n" in text}
+    apache, mit, gpl = (notices[name] for name in ("Apache-2.0", "MIT", "GPL-3.0"))
+    commented = "\n".join(f" * {line}" for line in ["Copyright 2020 Example Corp", "", *apache.split("\n")])
+    cases = {
+        "a.c": (f"/*\n{commented}\n */\nint main() {{ return 0; }}\n" * 2, "Apache-2.0"),
+        "b.py": ("#!/bin/python\n# " + " ".join(apache.split()) + "\nimport os", "Apache-2.0"),
+        "c.js": ("// " + gpl.replace("\n", "\n// ") + "\n" + "let a = 1;\n" * 50, "GPL-3.0"),
+        "LICENSE": (f"The MIT License\n\nCopyright (c) 2020 A. Person\n\n{mit}\n", "MIT"),
+        "d.go": ("package d\n" + "\n".join(f"// {w}" for w in mit.split(" ")) + "\nfunc f() {}", "MIT"),
+        "e.h": ("// Copyright 2020 Example Corp, all rights reserved.\nint e;", "LicenseRef-all-rights-reserved"),
+        "f.txt": ("This file is licensed under the\nApache License, Version\n2.0. Read on.", "Apache-2.0"),
+        "g.txt": ("The software is provided to any person under the terms of use.\nSee the rights of the person.", None),
+    }
+    rows = [(f"{name}/{name}", text) for name, (text, _) in cases.items()]
+    rows += [(f"plain/{n}.txt", f"the story of a person {n} who is not in the law or in any other") for n in range(60)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    templates = spark.createDataFrame(queries.LICENSE_TEMPLATES, "license string, text string")
+    found = {r.path: r.header_license for r in licenses.scan_licenses(files, templates).collect()}
+    assert {n: found[f"{n}/{n}"] for n in cases} == {n: name for n, (_, name) in cases.items()}
+    assert not any(name for path, name in found.items() if path.startswith("plain/"))
+
+
 def test_license_query(spark):
     stored = {r.doc_id: r.text for r in table(spark, SF_DIR, "documents").collect()}
     for row in queries.op8_license_scan(spark, SF_DIR).collect():
