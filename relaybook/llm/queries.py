@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaybook.llm import chat, decontaminate, licenses, mixing, quality, shards, simhash, tokens
-from relaybook.llm import toxicity, urls
+from relaybook.llm import chat, decontaminate, lexical, licenses, merkle, mixing, neighbours, quality
+from relaybook.llm import shards, simhash, tokens, toxicity, urls
 from relaybook.llm.common import table
 from relaybook.queries.registry import Run
 
@@ -356,3 +356,107 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "contaminated", F.col("n_hit") > 0
     )
 
+
+@register(r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+        FROM documents),
+    sizes AS (SELECT row, doc_id, len(ws)::BIGINT AS n FROM docs WHERE len(ws) > 0),
+    stats AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM sizes),
+    items AS (
+        SELECT row_number() OVER () AS item, item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+        FROM benchmark),
+    asked AS (SELECT item, term, count(*)::BIGINT AS times FROM (SELECT item, unnest(ws) AS term FROM items) GROUP BY ALL),
+    held AS (
+        SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(ws) AS term FROM docs)
+        WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+        FROM held, stats GROUP BY term),
+    scored AS (
+        SELECT item, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length))))::BIGINT AS score
+        FROM held JOIN asked USING (term) JOIN weights USING (term) JOIN sizes USING (row), stats GROUP BY ALL),
+    placed AS (
+        SELECT item, row, score, doc_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, row)::INTEGER AS rank
+        FROM scored JOIN sizes USING (row) WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM placed JOIN items USING (item) WHERE rank <= 20""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _part_sql(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def merkle_sql(documents: str = "documents") -> str:
+    """Leaves, levels and proofs of the manifest as SQL; ``strlen`` counts bytes."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    leaf = " || ".join(_part_sql(name) for name in fields)
+    changed = " || ".join(_part_sql("n_chars + tampered" if name == "n_chars" else name) for name in fields)
+    bit = "CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    steps = ("flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+             "lambda d: [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))")
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {bit}), 4294967295)"
+    return f"""
+    WITH RECURSIVE checked AS (
+        SELECT *, CASE WHEN {crc} % 7 = 0 THEN 1 ELSE 0 END AS tampered FROM {documents}),
+    hashed AS (SELECT doc_id, lang, sha256({leaf}) AS leaf, sha256({changed}) AS changed FROM checked),
+    trees AS (
+        SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+        FROM hashed GROUP BY lang),
+    leaves AS (
+        SELECT row_number() OVER () AS row, doc_id, leaf, changed, tree, n,
+            row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+        FROM hashed JOIN trees ON hashed.lang IS NOT DISTINCT FROM trees.lang),
+    below AS (
+        SELECT tree, 0 AS level, pos, n, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT tree, level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM below WHERE n > 1 GROUP BY tree, level, pos // 2),
+    subroots AS (SELECT tree, level, digest FROM below WHERE n = 1),
+    above AS (
+        SELECT 0 AS level, tree AS pos, count(*) OVER () AS n, digest FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM above WHERE n > 1 GROUP BY level, pos // 2),
+    nodes AS (
+        SELECT tree, level, pos, digest FROM below
+        UNION ALL
+        SELECT subroots.tree, subroots.level + above.level, above.pos + 1000000000000, above.digest
+        FROM above, subroots),
+    climb AS (
+        SELECT row, tree, 0 AS step, pos, n, changed AS folded, '' AS proof, false AS up FROM leaves
+        UNION ALL
+        SELECT * FROM (
+            SELECT row, moved.tree, moved.step + 1, moved.pos // 2, (n + 1) // 2,
+                CASE WHEN moved.pos % 2 = 1 THEN sha256(coalesce(digest, '') || folded)
+                    ELSE sha256(folded || coalesce(digest, '')) END,
+                proof || coalesce(digest, ''), up
+            FROM (SELECT row, tree, step, CASE WHEN up OR n > 1 THEN pos ELSE tree END AS pos,
+                    CASE WHEN up OR n > 1 THEN n ELSE (SELECT count(*) FROM subroots) END AS n,
+                    folded, proof, up OR n = 1 AS up FROM climb WHERE n > 1 OR NOT up) moved
+            LEFT JOIN nodes ON nodes.tree = moved.tree AND nodes.level = moved.step
+                AND nodes.pos = xor(moved.pos, 1) + CASE WHEN up THEN 1000000000000 ELSE 0 END
+            WHERE moved.n > 1)),
+    ended AS (SELECT row, arg_max(folded, step) AS folded, arg_max(proof, step) AS proof FROM climb GROUP BY row)
+    SELECT doc_id, leaf, subroots.digest AS subroot, root.digest AS root, sha256(proof) AS proof_sha256,
+        folded AS folded_root, folded = root.digest AS verified
+    FROM leaves JOIN ended USING (row) JOIN subroots USING (tree), (SELECT digest FROM above WHERE n = 1) root"""
+
+
+@register(merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(
+        table(spark, sf_dir, "documents"),
+        lambda: {"n_chars": merkle.added_one(F.col("doc_id"), F.col("n_chars"))},
+    )
+
+
+@register()
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
