@@ -48,6 +48,15 @@ TOTAL = StructType([
     StructField("value", LongType()),
 ])
 
+# The message that a broker keeps for a topic; an empty payload stands for a topic that was cleared.
+KEPT = StructType([
+    StructField("topic", StringType()),
+    StructField("payload", BinaryType()),
+    StructField("qos", IntegerType()),
+    StructField("ts", TimestampType()),
+    StructField("seq", LongType()),
+])
+
 # One version of a cell; seq breaks ties between versions of the same time.
 CELL = StructType([
     StructField("row_key", StringType()),
