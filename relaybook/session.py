@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,3 +38,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
         base = tempfile.mkdtemp(prefix="relaybook-")
     return f"{base.rstrip('/')}/relaybook/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write rows to the shared folder and read them back, so that lost executors cost no rerun."""
+    path = work_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
