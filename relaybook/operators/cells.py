@@ -22,9 +22,19 @@ def int_cells(
     )
 
 
-def put_cells(cells: DataFrame, path: str) -> None:
-    """Add versions; nothing already written is touched."""
-    cells.select(CELL.fieldNames()).write.mode("append").parquet(path)
+def put_cells(cells: DataFrame, path: str, row_keys: int | None = None) -> None:
+    """Add versions; nothing already written is touched.
+
+    ``row_keys`` is the number of different row keys that a file holds, about: files then carry a Bloom
+    filter on the row key, and :func:`get_row` skips the parts of unsorted files that lack the key, which
+    the least and greatest key of a part can not tell.
+    """
+    writer = cells.select(CELL.fieldNames()).write.mode("append")
+    if row_keys is not None:
+        writer = writer.option("parquet.bloom.filter.enabled#row_key", "true").option(
+            "parquet.bloom.filter.expected.ndv#row_key", str(row_keys)
+        )
+    writer.parquet(path)
 
 
 def recreate_cells(cells: DataFrame, path: str) -> None:

@@ -14,9 +14,10 @@ from relaybook.operators.cells import int_cells
 from relaybook.operators.windows import windowed_count
 from relaybook.operators.words import top_words, values, word_count
 from relaybook.schemas import CELL, INCREMENT, TOTAL
-from relaybook.streaming.batchlog import BatchLog
+from relaybook.streaming.batchlog import BatchLog, no_rows, query_id
 from relaybook.streaming.counters import Counters, increments
-from relaybook.streaming.runs import each_batch
+from relaybook.streaming.folded import FoldedTable
+from relaybook.streaming.runs import each_batch, triggered
 
 BATCH_COUNT = StructType([StructField("n", LongType())])
 BATCH_WORDS = StructType([StructField("word", StringType()), StructField("n", LongType())])
@@ -100,6 +101,28 @@ def put_batch_words(
     return each_batch(messages.select("value"), put, checkpoint, every=every)
 
 
+def fold_batch_words(
+    messages: DataFrame, table: FoldedTable, *, checkpoint: str, row_key: str = "Counter",
+    family: str = "f", every: str | None = None,
+) -> StreamingQuery:
+    """As :func:`put_batch_words`, into a table that holds the last cell of each word only."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.transform(values).transform(word_count)
+        now, seq = F.current_timestamp(), F.lit(batch_id).cast("bigint")
+        cells = int_cells(counts, F.lit(row_key), F.col("word"), F.col("n"), now, seq, family, long_bytes)
+        table.upsert(cells, batch_id)
+
+    return each_batch(messages.select("value"), put, checkpoint, every=every)
+
+
+def cells_table(
+    spark: SparkSession, root: str, order: tuple[str, ...] = ("seq", "ts"), **options
+) -> FoldedTable:
+    """Cells of which only the last version is kept, by sequence first, as one writer's clock may step back."""
+    return FoldedTable(spark, root, CELL, ["row_key", "family", "qualifier"], list(order), **options)
+
+
 def cells_log(spark: SparkSession, root: str) -> BatchLog:
     return BatchLog(spark, root, CELL)
 
@@ -131,6 +154,53 @@ def keep_totals(
     return each_batch(totals, log.add, checkpoint, every=every, mode="update")
 
 
+def fold_totals(
+    stream: DataFrame, table: FoldedTable, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Keep running totals in the stream's state and the last total of each counter in a folded table.
+
+    Unlike the log of :func:`keep_totals`, the table does not grow with the batches of the past.
+    """
+    totals = stream.groupBy("row_key", "qualifier").agg(F.sum("delta").alias("value"))
+
+    def fold(batch: DataFrame, batch_id: int) -> bool:
+        writer = F.lit(query_id(batch.sparkSession)).alias("writer_id")
+        return table.upsert(batch.select("*", writer, F.lit(batch_id).cast("bigint").alias("batch_id")), batch_id)
+
+    return each_batch(totals, fold, checkpoint, every=every, mode="update")
+
+
+def totals_table(spark: SparkSession, root: str, **options) -> FoldedTable:
+    schema = StructType([*TOTAL.fields, StructField("writer_id", StringType()), StructField("batch_id", LongType())])
+    return FoldedTable(spark, root, schema, ["row_key", "qualifier", "writer_id"], ["batch_id"], **options)
+
+
+def folded_totals(table: FoldedTable) -> DataFrame:
+    """The total of each counter, summed over the writers of a folded table."""
+    return table.read().groupBy("row_key", "qualifier").agg(F.sum("value").alias("value"))
+
+
+def state_totals(stream: DataFrame, checkpoint: str, *, every: str | None = None) -> StreamingQuery:
+    """Keep running totals in the stream's state and nowhere else; :func:`read_state_totals` reads them."""
+    totals = stream.groupBy("row_key", "qualifier").agg(F.sum("delta").alias("value"))
+    writer = totals.writeStream.outputMode("update").format("noop")
+    return triggered(writer.option("checkpointLocation", checkpoint), every).start()
+
+
+def read_state_totals(spark: SparkSession, *checkpoints: str) -> DataFrame:
+    """The totals in the state of streams that keep them, as of each stream's last finished batch.
+
+    Each stream began with an empty state, so their totals add up.
+    """
+    found = no_rows(spark, TOTAL)
+    for checkpoint in checkpoints:
+        state = spark.read.format("statestore").load(checkpoint)
+        # The value of the state is the sum so far, its one buffer.
+        sums = F.col(f"value.`{state.schema['value'].dataType.fieldNames()[0]}`")
+        found = found.unionAll(state.select("key.row_key", "key.qualifier", sums.alias("value")))
+    return found.groupBy("row_key", "qualifier").agg(F.sum("value").alias("value"))
+
+
 def last_totals(log: BatchLog) -> DataFrame:
     """The last logged total of each counter, summed over the writers of the log.
 

@@ -13,8 +13,8 @@ from relaybook.operators.cells import (
     read_cells,
     recreate_cells,
 )
-from relaybook.plans import put_batch_words
-from relaybook.plans.counting import cells_log
+from relaybook.plans import fold_batch_words, put_batch_words
+from relaybook.plans.counting import cells_log, cells_table
 from relaybook.queries.fixtures import chat_messages, event_messages, table
 from relaybook.queries.registry import query, sql_words
 from relaybook.session import work_dir
@@ -88,12 +88,60 @@ def cell_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     return get_row(read_cells(spark, f"{folder}/cells"), "purchase")
 
 
-@query(f"""
+@query(_USER_EVENTS.format(family="f", value=_LAST_ID, where=""))
+def cell_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cells put in batches that do not follow the order of time, each folded into its buckets."""
+    folder = work_dir(spark, "cell_folded")
+    kept = cells_table(spark, f"{folder}/cells", ("ts", "seq"), buckets=8)
+    cells = _id_cells(table(spark, sf_dir, "events"))
+    for batch in range(4):
+        kept.upsert(cells.where(F.col("seq") % 4 == batch), batch, "events")
+    # A batch that comes again is known and changes nothing.
+    kept.upsert(cells.where(F.col("seq") % 4 == 3), 3, "events")
+    return kept.read().select("row_key", "family", "qualifier", F.hex("value").alias("value"))
+
+
+@query("""
+    SELECT CAST(user_id AS VARCHAR) AS row_key, 'f' AS family, event_type AS qualifier,
+           arg_max(props, (ts, event_id)) AS value
+    FROM events WHERE user_id = 7 GROUP BY user_id, event_type""")
+def cell_point_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row of a table of unsorted appends, found by the Bloom filters of its files."""
+    folder = work_dir(spark, "cell_point_get")
+    cells = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("row_key"), F.lit("f").alias("family"),
+        F.col("event_type").alias("qualifier"), text_bytes(F.col("props")).alias("value"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"),
+    )
+    for part in range(3):
+        put_cells(cells.where(F.col("seq") % 3 == part), f"{folder}/cells", row_keys=100_000)
+    return get_row(read_cells(spark, f"{folder}/cells"), "7")
+
+
+_WORDS_PUT = f"""
     WITH first AS (SELECT word, count(*) AS n FROM ({sql_words("props", "events")}) GROUP BY word),
          later AS (SELECT word, count(*) AS n FROM ({sql_words("text", "conversations")}) GROUP BY word)
     SELECT 'Counter' AS row_key, 'f' AS family, word AS qualifier,
            printf('%016X', coalesce(later.n, first.n)) AS value
-    FROM first FULL JOIN later USING (word)""")
+    FROM first FULL JOIN later USING (word)"""
+
+
+@query(_WORDS_PUT)
+def stream_cell_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts of two batches put one over the other, into a table of last cells only."""
+    folder = work_dir(spark, "stream_cell_folded")
+    kept = cells_table(spark, f"{folder}/cells", buckets=8)
+    for landed in (
+        event_messages(table(spark, sf_dir, "events")),
+        chat_messages(table(spark, sf_dir, "conversations")),
+    ):
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
+        finish(fold_batch_words(messages, kept, checkpoint=f"{folder}/checkpoint"))
+    return kept.read().select("row_key", "family", "qualifier", F.hex("value").alias("value"))
+
+
+@query(_WORDS_PUT)
 def stream_cell_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts of two batches put one over the other; each landed table is one batch."""
     folder = work_dir(spark, "stream_cell_latest")

@@ -14,9 +14,14 @@ from relaybook.plans.counting import (
     BATCH_COUNT,
     BATCH_WORDS,
     count_ones,
+    fold_totals,
+    folded_totals,
     keep_totals,
     last_totals,
+    read_state_totals,
+    state_totals,
     totals_log,
+    totals_table,
 )
 from relaybook.queries.fixtures import (
     chat_messages,
@@ -33,6 +38,7 @@ from relaybook.streaming.batchlog import BatchLog
 from relaybook.streaming.counters import Counters, increments, wide_rows
 from relaybook.streaming.runs import finish
 from relaybook.streaming.sinks import start_messages
+from relaybook.streaming.triggers import TriggerLog, trigger_counts
 
 _DOCUMENT_WORDS = sql_words("text", "documents")
 _CHAT_WORDS = sql_words("text", "conversations")
@@ -176,6 +182,33 @@ def counter_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_totals(log)
 
 
+@query(_CHATS_AND_EVENTS)
+def counter_state_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same totals, of which a folded table keeps the last one of each counter and stream."""
+    folder = work_dir(spark, "counter_state_folded")
+    kept = totals_table(spark, f"{folder}/totals", buckets=8)
+    for stream, name in (
+        (event_messages(table_stream(spark, sf_dir, "events")), "events"),
+        (chat_messages(table_stream(spark, sf_dir, "conversations")), "conversations"),
+    ):
+        finish(fold_totals(_key_name(stream), kept, f"{folder}/{name}"))
+    return folded_totals(kept)
+
+
+@query(_CHATS_AND_EVENTS)
+def counter_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same totals read from the state of a stream that was started again; nothing is logged."""
+    folder = work_dir(spark, "counter_state_store")
+    for landed in (
+        event_messages(table(spark, sf_dir, "events")),
+        chat_messages(table(spark, sf_dir, "conversations")),
+    ):
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
+        finish(state_totals(_key_name(messages), f"{folder}/checkpoint"))
+    return read_state_totals(spark, f"{folder}/checkpoint")
+
+
 @query(_counter_sql(f"{_DOCUMENT_WORDS} UNION ALL {_CHAT_WORDS}"))
 def counter_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals made of a snapshot and of what was counted after it, with a stream started again."""
@@ -218,6 +251,38 @@ def counter_wide_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "counter_wide_row")
     counters = Counters(spark, folder)
     _count_chats(spark, sf_dir, counters, folder)
-    return wide_rows(counters.totals(), parts=20).select(
+    return wide_rows(counters.totals(), most=1000).select(
         "row_key", F.explode("cells").alias("qualifier", "value")
     )
+
+
+@query(f"""
+    SELECT 'Counter' AS row_key, part, least(1000, n - 1000 * part) AS cells
+    FROM (SELECT count(DISTINCT word) AS n FROM ({_CHAT_WORDS})), range(1000000) AS r(part)
+    WHERE 1000 * part < n""")
+def counter_row_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of each part of one row; all but the last are full."""
+    folder = work_dir(spark, "counter_row_parts")
+    counters = Counters(spark, folder)
+    _count_chats(spark, sf_dir, counters, folder)
+    parts = wide_rows(counters.totals(), most=1000)
+    return parts.select("row_key", "part", F.size("cells").cast("bigint").alias("cells"))
+
+
+@query("""
+    SELECT 0::BIGINT AS trigger_no, count(*) AS n FROM events
+    UNION ALL SELECT 1, 0 UNION ALL SELECT 2, count(*) FROM conversations""")
+def stream_trigger_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of each trigger of a stream, the second of which finds none."""
+    folder = work_dir(spark, "stream_trigger_counts")
+    log = BatchLog(spark, f"{folder}/counts", BATCH_COUNT)
+    with TriggerLog(spark, f"{folder}/triggers") as triggers:
+        for landed in (
+            event_messages(table(spark, sf_dir, "events")), None,
+            chat_messages(table(spark, sf_dir, "conversations")),
+        ):
+            if landed is not None:
+                landed.write.mode("append").parquet(f"{folder}/landing")
+            messages = read_messages(spark, ["devices", "chat"], path=f"{folder}/landing", stream=True)
+            finish(count_batches(messages, log, f"{folder}/checkpoint"))
+    return trigger_counts(triggers.read()).select("trigger_no", "n")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relaybook.functions import (
@@ -16,8 +18,18 @@ from relaybook.functions import (
 )
 from relaybook.operators.messages import retained, with_header, with_kafka_topic
 from relaybook.operators.placement import place, split_rejects
+from relaybook.operators.subscriptions import subscribed
 from relaybook.operators.vehicles import TURNS, VINS, vehicle_messages
-from relaybook.plans import bridge, enveloped_bridge, feed_vehicles, replay_bridge
+from relaybook.plans import (
+    bridge,
+    count_words,
+    enveloped_bridge,
+    feed_vehicles,
+    keep_retained,
+    kept_messages,
+    kept_table,
+    replay_bridge,
+)
 from relaybook.plans.fleet import SENT
 from relaybook.queries.fixtures import (
     chat_messages,
@@ -27,10 +39,15 @@ from relaybook.queries.fixtures import (
     table,
     table_stream,
 )
-from relaybook.queries.registry import query
+from relaybook.queries.registry import query, sql_words
 from relaybook.session import work_dir
 from relaybook.sources import read_landed, read_messages
+from relaybook.sources.messages import read_files
+from relaybook.schemas import MESSAGE
 from relaybook.streaming.batchlog import BatchLog
+from relaybook.streaming.counters import Counters
+from relaybook.streaming.ledger import Ledger
+from relaybook.streaming.resend import message_ids, once
 from relaybook.streaming.runs import finish
 from relaybook.streaming.sinks import start_messages
 
@@ -246,3 +263,111 @@ def topic_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "event_id",
     )
     return kept
+
+
+@query("""
+    WITH asked(client, filter) AS (
+        SELECT c_custkey, 'devices/+/' || c_custkey FROM customer
+        UNION ALL SELECT s_suppkey, 'devices/click/' || s_suppkey FROM supplier
+        UNION ALL SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN '#' WHEN 1 THEN 'devices/purchase/#'
+            WHEN 2 THEN '+/view/+' WHEN 3 THEN 'devices/+' ELSE 'devices/+/' || n_nationkey || '/#' END FROM nation),
+    patterns AS (
+        SELECT *, '^' || CASE WHEN filter = '#' THEN '.*'
+            ELSE replace(replace(filter, '/#', '(/.*)?'), '+', '[^/]*') END || '$' AS pattern FROM asked),
+    topics AS (SELECT DISTINCT concat('devices/', event_type, '/', user_id) AS topic FROM events),
+    pairs AS (SELECT topic, client, filter FROM topics, patterns WHERE regexp_matches(topic, pattern))
+    SELECT client::BIGINT AS client, filter, count(*) AS n
+    FROM events JOIN pairs ON concat('devices/', event_type, '/', user_id) = pairs.topic GROUP BY ALL""")
+def subscription_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per subscription, with one subscription or more for every customer, supplier and nation."""
+    devices, nation = F.lit("devices/"), F.col("n_nationkey")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("client"),
+        F.concat(devices, F.lit("+/"), F.col("c_custkey").cast("string")).alias("filter"),
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("bigint"), F.concat(devices, F.lit("click/"), F.col("s_suppkey").cast("string"))
+    )
+    broad = F.when(nation % 5 == 0, "#").when(nation % 5 == 1, "devices/purchase/#").when(
+        nation % 5 == 2, "+/view/+"
+    ).when(nation % 5 == 3, "devices/+").otherwise(F.concat(devices, F.lit("+/"), nation.cast("string"), F.lit("/#")))
+    nations = table(spark, sf_dir, "nation").select(nation.cast("bigint"), broad)
+    events = device_topics(table(spark, sf_dir, "events")).select("topic", "event_id")
+    found = subscribed(events, customers.unionAll(suppliers).unionAll(nations))
+    return found.groupBy("client", "filter").agg(F.count("*").alias("n"))
+
+
+@query("""
+    WITH numbered AS (
+        SELECT event_id, props, CAST(user_id % 4 AS INTEGER) AS "partition",
+            row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
+            count(*) OVER (PARTITION BY user_id % 4) AS n
+        FROM events)
+    SELECT CASE WHEN "offset" < n // 2 THEN 1 ELSE 2 END AS commit_no, 'devices' AS topic, "partition", "offset",
+        props AS value
+    FROM numbered""")
+def committed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batch reads of a growing topic, each repeated; every message is read by one of them."""
+    folder = work_dir(spark, "committed_reads")
+    partition = (F.col("user_id") % 4).cast("int")
+    order = Window.partitionBy("partition").orderBy("event_id")
+    messages = table(spark, sf_dir, "events").withColumn("partition", partition).select(
+        F.lit(None).cast("binary").alias("key"), text_bytes(F.col("props")).alias("value"),
+        F.lit("devices").alias("topic"), "partition",
+        (F.row_number().over(order) - 1).cast("bigint").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.count("*").over(Window.partitionBy("partition")).alias("n"),
+    )
+    ledger = Ledger(spark, f"{folder}/ledger", "reader")
+    for number, part in enumerate((F.expr("offset < n div 2"), F.expr("offset >= n div 2")), 1):
+        messages.where(part).select(MESSAGE.fieldNames()).write.mode("append").parquet(f"{folder}/topic")
+        for _ in range(2):
+            offered = read_messages(spark, ["devices"], path=f"{folder}/topic")
+            ledger.consume(offered, lambda read, number=number: read.select(
+                F.lit(number).alias("commit_no"), "topic", "partition", "offset",
+                decode_text(F.col("value")).alias("value"),
+            ).write.mode("append").parquet(f"{folder}/read"))
+    return spark.read.parquet(f"{folder}/read")
+
+
+@query("SELECT 'Counter' AS row_key, word AS qualifier, count(*) AS value FROM ("
+       + sql_words("props", "events") + ") GROUP BY word")
+def resend_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of messages that a bridge sent twice, some in the same batch and all again in the next."""
+    folder = work_dir(spark, "resend_counters")
+    events = table(spark, sf_dir, "events")
+    sent = event_messages(events)
+    for again in (sent.where("offset % 3 = 0"), sent):
+        sent.unionByName(again).write.mode("append").parquet(f"{folder}/topic")
+        messages = read_messages(spark, ["devices"], path=f"{folder}/topic", stream=True)
+        told = message_ids(messages, "value", "offset")
+        counters = Counters(spark, f"{folder}/counters")
+        finish(count_words(once(told, timedelta(days=60)), counters, f"{folder}/checkpoint"))
+    return counters.totals()
+
+
+@query(f"""
+    WITH sent AS (
+        SELECT {_TOPIC} AS topic, ts, event_id,
+            CASE WHEN event_id % 7 = 0 THEN '' ELSE props END AS payload FROM events)
+    SELECT topic, payload, 0 AS qos
+    FROM (SELECT topic, arg_max(payload, (ts, event_id)) AS payload FROM sent GROUP BY topic)
+    WHERE payload <> ''""")
+def topic_retained_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages kept for topics by a stream over landings that are not in the order of time.
+
+    Every seventh message has no payload and clears its topic.
+    """
+    folder = work_dir(spark, "topic_retained_store")
+    events = table(spark, sf_dir, "events")
+    cleared = F.when(F.col("event_id") % 7 == 0, "").otherwise(F.col("props"))
+    landed = device_topics(events).select(
+        "topic", text_bytes(cleared).alias("payload"), F.lit(0).alias("qos"), F.lit(True).alias("retained"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"),
+    )
+    kept = kept_table(spark, f"{folder}/kept", buckets=8)
+    for part in (1, 2, 0):
+        landed.where(F.col("seq") % 3 == part).write.mode("append").parquet(f"{folder}/landing")
+        stream = read_files(spark, f"{folder}/landing", landed.schema, stream=True)
+        finish(keep_retained(stream, kept, f"{folder}/checkpoint"))
+    return kept_messages(kept).withColumn("payload", decode_text(F.col("payload")))

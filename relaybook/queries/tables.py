@@ -13,6 +13,7 @@ from relaybook.queries.registry import query
 from relaybook.schemas import DOCUMENT
 from relaybook.session import work_dir
 from relaybook.sources import read_lines, read_table, typed_columns
+from relaybook.sources.tables import slice_predicates, split_misfits
 from relaybook.streaming.sinks import write_lines
 
 _LINES = """
@@ -74,3 +75,27 @@ def text_sink_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_lines(lines, f"{folder}/out")
     found = read_lines(spark, f"{folder}/out")
     return found.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
+@query("""
+    SELECT doc_id AS id, lang AS type, source AS authors, n_chars::VARCHAR AS title,
+        CASE WHEN doc_id % 6 = 0 THEN 'n/a' WHEN doc_id % 6 = 1 THEN NULL ELSE (2000 + doc_id % 25)::VARCHAR END AS year,
+        CASE WHEN doc_id % 6 = 0 THEN 'year' ELSE '' END AS misfits
+    FROM documents""")
+def doc_table_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document table with years that are no numbers: typed rows, and rejected ones with the reason."""
+    year = F.when(F.col("doc_id") % 6 == 0, "n/a").when(F.col("doc_id") % 6 != 1, (2000 + F.col("doc_id") % 25).cast("string"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", year)
+    fitting, rejected = split_misfits(rows, DOCUMENT)
+    fitting = fitting.withColumn("misfits", F.lit("")).withColumn("year", F.col("year").cast("string"))
+    rejected = rejected.withColumn("misfits", F.array_join("misfits", ",")).withColumn("title", F.col("title").cast("string"))
+    return fitting.unionByName(rejected)
+
+
+@query("SELECT doc_id, 1 AS slices FROM documents")
+def doc_table_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slices that a read over JDBC would use: each document is in one of them, nulls too."""
+    documents = table(spark, sf_dir, "documents").withColumn("size", F.nullif("n_chars", F.lit(0)))
+    conditions = slice_predicates(documents, "size", 12)
+    held = [F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions]
+    return documents.select("doc_id", sum(held[1:], held[0]).alias("slices"))

@@ -6,13 +6,16 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from relaybook.operators.windows import fill_windows, first_of_each, sliding_count, windowed_count
 from relaybook.operators.words import words
-from relaybook.plans import count_messages
+from relaybook.plans import ClosingWindows, close_windows, count_messages
 from relaybook.queries.fixtures import event_messages, table, table_stream
 from relaybook.queries.registry import query, sql_words
 from relaybook.session import work_dir
+from relaybook.sources.messages import read_files
+from relaybook.streaming.batchlog import read_or_empty
 from relaybook.streaming.counters import Counters
 from relaybook.streaming.runs import finish, triggered
 
@@ -102,11 +105,40 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed = stored.where((F.col("ts") >= F.lit(first + part * step)) if part else F.lit(True))
         if part < 3:
             landed = landed.where(F.col("ts") < F.lit(first + (part + 1) * step))
-        landed.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
-    reader = spark.readStream.schema(stored.schema).option("maxBytesPerTrigger", 1)
-    events = reader.parquet(f"{folder}/landing")
-    counted = windowed_count(events, "ts", 3 * HOUR, HOUR, late=timedelta(minutes=10))
-    writer = counted.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out")
-    finish(triggered(writer.option("checkpointLocation", f"{folder}/checkpoint")).start())
-    closed = spark.read.schema(counted.schema).parquet(f"{folder}/out")
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        events = read_files(spark, f"{folder}/landing", stored.schema, stream=True)
+        counted = windowed_count(events, "ts", 3 * HOUR, HOUR, late=timedelta(minutes=10))
+        writer = counted.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out")
+        finish(triggered(writer.option("checkpointLocation", f"{folder}/checkpoint")).start())
+    found = StructType([StructField("window_start", TimestampType()), StructField("n", LongType())])
+    closed = read_or_empty(spark, f"{folder}/out", found)
     return closed.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
+
+
+@query("""
+    WITH marks AS (SELECT max(ts) - INTERVAL '10 minutes' AS first_mark FROM events WHERE event_id % 2 = 0),
+    split AS (
+        SELECT *, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+            event_id % 2 = 1 AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= first_mark AS late
+        FROM events, marks),
+    last_mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM events)
+    SELECT CASE WHEN late THEN 'late' WHEN window_start + INTERVAL '1 hour' <= mark THEN 'closed' ELSE 'open' END AS kind,
+        window_start, count(*) AS n
+    FROM split, last_mark GROUP BY ALL""")
+def closed_open_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a stream whose second batch is mostly late: closed ones, open ones, and late rows.
+
+    Together they hold every event.
+    """
+    folder = work_dir(spark, "closed_open_late")
+    stored = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    windows = ClosingWindows(spark, f"{folder}/windows", stored.schema, "ts", HOUR, timedelta(minutes=10))
+    for part in range(2):
+        stored.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{folder}/landing")
+        events = read_files(spark, f"{folder}/landing", stored.schema, stream=True)
+        finish(close_windows(events, windows, f"{folder}/checkpoint"))
+    counted = windows.windows().select(
+        F.when(F.col("closed"), "closed").otherwise("open").alias("kind"), "window_start", "n"
+    )
+    late = windowed_count(windows.late_rows.read(), "ts", HOUR).select(F.lit("late").alias("kind"), "window_start", "n")
+    return counted.unionByName(late).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -16,13 +16,16 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from relaybook.schemas import INCREMENT, TOTAL
 from relaybook.streaming.batchlog import BatchLog, no_rows, query_id, read_or_empty, remove
 
+#: Buckets that a row's cells are numbered in; each holds so small a share of the row.
+ROW_BUCKETS = 4096
+
 _AS_OF = StructField("as_of", LongType())
 _COVERED = StructType([StructField("writer_id", StringType()), StructField("last", LongType())])
 
@@ -32,6 +35,7 @@ class Counters:
         self.spark = spark
         self.root = f"{root.rstrip('/')}/table={table}/family={family}"
         self.log = BatchLog(spark, self.root, INCREMENT)
+        self._added: dict[str, int] = {}
 
     def add(self, increments: DataFrame, batch_id: int, writer_id: str | None = None) -> bool:
         """Add the increments ``(row_key, qualifier, delta)`` of one batch; False if already added.
@@ -40,13 +44,17 @@ class Counters:
         (and then adds nothing), while an earlier one that left no mark is an error.
         """
         writer = writer_id or query_id(increments.sparkSession)
-        last = self._snapshot()[1].get(writer)
-        if last is not None and batch_id <= last and not self.log.is_done(batch_id, writer):
-            if batch_id < last:
-                raise ValueError(f"batch {batch_id} comes after batch {last} was folded into a snapshot")
-            return False
+        # A batch behind the last one added here can not be in a snapshot, so none is read for it.
+        if batch_id <= self._added.get(writer, batch_id):
+            last = self._snapshot()[1].get(writer)
+            if last is not None and batch_id <= last and not self.log.is_done(batch_id, writer):
+                if batch_id < last:
+                    raise ValueError(f"batch {batch_id} comes after batch {last} was folded into a snapshot")
+                return False
         summed = increments.groupBy("row_key", "qualifier").agg(F.sum("delta").alias("delta"))
-        return self.log.add(summed, batch_id, writer)
+        added = self.log.add(summed, batch_id, writer)
+        self._added[writer] = max(batch_id, self._added.get(writer, batch_id))
+        return added
 
     def totals(self) -> DataFrame:
         """All counters as ``(row_key, qualifier, value)``."""
@@ -118,18 +126,31 @@ class Counters:
         return last
 
 
-def wide_rows(totals: DataFrame, parts: int = 16) -> DataFrame:
-    """Each row as maps of qualifier to value, in ``parts`` parts at most.
+def wide_rows(totals: DataFrame, most: int = 10_000) -> DataFrame:
+    """Each row as maps of qualifier to value, in parts of ``most`` cells; only a row's last part has fewer.
 
-    A row key can hold any number of qualifiers, so its qualifiers are dealt by hash to ``parts``
-    maps, which together hold each once; a part without any is left out. The shape is the same at
-    every size: choose ``parts`` for the widest row.
+    A row key can hold any number of qualifiers, so its cells are numbered without ever being in one
+    place: they are dealt to buckets by hash and counted there, the counts give each bucket's start, and
+    a cell is numbered within its bucket. Parts are runs of these numbers, so no part is over ``most``
+    whatever the row's size, and a row's parts are alike in every run. A null qualifier can not be a key
+    of a map and is an error.
     """
-    if parts < 1:
-        raise ValueError("there must be at least one part")
-    part = F.pmod(F.xxhash64("qualifier"), F.lit(parts)).alias("part")
+    if most < 1:
+        raise ValueError("a part holds at least one cell")
+    dealt = totals.withColumn("bucket", F.pmod(F.xxhash64("qualifier"), F.lit(ROW_BUCKETS)).cast("int"))
+    counts = dealt.groupBy("row_key", "bucket").agg(F.count("*").alias("held"))
+    earlier = Window.partitionBy("row_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("row_key").alias("own_key"), F.col("bucket").alias("own_bucket"),
+        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"),
+    )
+    within = F.row_number().over(Window.partitionBy("row_key", "bucket").orderBy("qualifier"))
+    numbered = dealt.withColumn("within", within).join(
+        starts, F.col("row_key").eqNullSafe(F.col("own_key")) & (F.col("bucket") == F.col("own_bucket"))
+    )
+    part = F.expr(f"(start + within - 1) div {int(most)}").alias("part")
     entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))
-    return totals.groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))
+    return numbered.groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))
 
 
 def increments(counts: DataFrame, qualifier: str, row_key: str = "Counter", n: str = "n") -> DataFrame:
