@@ -98,7 +98,8 @@ def format_chats(
     Turns stand in the order of ``turn`` (null first), ties by role and text; rows that repeat are
     all kept. Adjacent turns of one role share a block. ``loss_mask`` lists (start, chars), in
     characters of ``formatted`` from 0, of each text of the role ``learns``, still escaped. A null
-    role or text is empty; a null ``conv_id`` is a conversation of its own. Other columns are left.
+    role or text is empty; a null ``conv_id`` is a conversation of its own. An empty table gives an empty
+    one. Other columns, whatever their names, are left.
 
     A conversation is one row of the result, so it is gathered in one task and can not pass Spark's
     limit for one value (2 GB).
@@ -107,9 +108,13 @@ def format_chats(
         F.col(conv_id).alias("conv_id"),
         F.struct(
             F.col(turn).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
-            escape(F.coalesce(F.col(text), F.lit(""))).alias("text"),
+            F.coalesce(F.col(text), F.lit("")).alias("text"),
         ).alias("t"),
     ).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    # Escaped only now: a backslash before a character would change the order of ties.
+    gathered = gathered.withColumn("turns", F.transform("turns", lambda t: F.struct(
+        t["role"].alias("role"), escape(t["text"]).alias("text")
+    )))
     blocks = gathered.select("conv_id", let(F.col("turns"), _blocks).alias("blocks"))
     formatted = F.array_join(
         F.transform("blocks", lambda b: F.concat(
