@@ -8,40 +8,52 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaybook.llm.common import columns, let, without, words
+from relaybook.llm.common import columns, let, quoted, without, words
 
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-#: Frequent function words of the four languages of the corpus.
+#: Frequent function words of languages in Latin letters (en, fr, de, es, it, pt, nl, pl, cs, sv, tr).
 STOP_WORDS = tuple(
     "the of and to in that is was for on with as by this from are be it an a or not what have he "
     "her at le la les de des et un une du en que qui pour dans sur avec pas au der die das und ist "
-    "von zu den mit nicht ein eine im auf el los las y por con para del se su al lo como más es una"
-    .split()
+    "von zu den mit nicht ein eine im auf el los las y por con para del se su al lo como más es una "
+    "il di che è per non sono i o os um uma não em do da het een van dat op te zijn i w na z że się "
+    "nie jest do to od po jak oraz ale v s je že ale jako och att det som en av är inte för bir ve bu "
+    "için ile da".split()
 )
+#: The languages of these words, as the language column names them.
+COVERED = ("en", "fr", "de", "es", "it", "pt", "nl", "pl", "cs", "sv", "tr")
+#: Letters of other scripts, from Greek on.
+_OTHER_LETTERS = r"[\x{0370}-\x{1DFF}\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}]"
 
 
 class Rule(NamedTuple):
-    """``at_least <= metric / per <= at_most``; a bound of None holds always."""
+    """``at_least <= metric / per <= at_most``; a bound of None holds always.
+
+    A rule that is made for ``covered`` texts is left out for the others: texts of which half the
+    characters or more are letters of a script other than Latin, and texts whose language is named and
+    not in ``COVERED``. Words of such texts have other lengths, and the stop words are not theirs.
+    """
 
     metric: str
     per: str | None
     at_least: float | None
     at_most: float | None
+    covered: bool = False
 
 
 RULES = (
-    Rule("word_chars", "n_words", 2.5, 10.0),
+    Rule("word_chars", "n_words", 2.5, 10.0, covered=True),
     Rule("n_symbols", "n_words", None, 0.1),
-    Rule("n_stop_words", "n_words", 0.02, None),
+    Rule("n_stop_words", "n_words", 0.02, None, covered=True),
     Rule("n_dup_lines", "n_lines", None, 0.5),
 )
 
 METRICS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
-    "n_stop_words",
+    "n_stop_words", "n_other_letters",
 )
 
 
@@ -104,12 +116,18 @@ def metrics(text: Column) -> Column:
             "n_repeat_words": _repeat_words(found),
             "n_lines": F.size(kept),
             "n_stop_words": F.size(F.filter(found, lambda w: F.lower(w).isin(*STOP_WORDS))),
+            "n_other_letters": F.regexp_count(whole, F.lit(_OTHER_LETTERS)),
         }
         return F.struct(*[values[name].cast("long").alias(name) for name in METRICS])
 
     return let(words(text), lambda found: let(lines, lambda kept: counts(found, kept)))
 
 
+def _is_covered(lang: Column) -> Column:
+    latin = F.col("n_other_letters") * 2 < F.greatest(F.col("word_chars"), F.lit(1))
+    return latin & F.coalesce(lang.isin(*COVERED), F.lit(True))
+
+
 def _holds(rule: Rule) -> Column:
     value = F.col(rule.metric)
     if rule.per:
@@ -119,21 +137,28 @@ def _holds(rule: Rule) -> Column:
         bounds.append(value >= rule.at_least)
     if rule.at_most is not None:
         bounds.append(value <= rule.at_most)
-    return reduce(lambda a, b: a & b, bounds, F.lit(True))
+    held = reduce(lambda a, b: a & b, bounds, F.lit(True))
+    return held | ~F.col("covered") if rule.covered else held
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def judge(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", lang: str | None = None
+) -> DataFrame:
     """Documents with their counts, ``base_failed``, ``failed_rules`` and ``kept``.
 
-    Nothing is shuffled: each document is judged by itself, in one projection. A null or empty text
-    has no words, so ``base_failed`` is true. Rows that repeat are judged alike. Columns of the
-    input with the names of result columns are replaced.
+    Nothing is shuffled: each document is judged by itself, in one projection, whatever its length.
+    ``lang`` names a column with the language, if there is one; a null language is not known and the
+    script of the text decides alone. A null or empty text has no words, so ``base_failed`` is true.
+    Rows that repeat are judged alike. An empty table gives an empty one. Columns of the input with the
+    names of result columns are replaced.
     """
     added = (*METRICS, "base_failed", "failed_rules", "kept")
     # A text that the result replaces is still read first. The counts are laid out by a generator,
     # so that a filter on them does not compute them once for each rule.
-    flat = docs.select(F.struct(*columns(without(docs, *added))).alias("row"),
+    named = quoted(lang).cast("string") if lang else F.lit(None).cast("string")
+    flat = docs.select(F.struct(*columns(without(docs, *added))).alias("row"), named.alias("judged_lang"),
                        F.inline(F.array(metrics(F.col(text)))))
+    flat = flat.withColumn("covered", _is_covered(F.col("judged_lang")))
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     names = [f"{rule.metric}/{rule.per}" if rule.per else rule.metric for rule in rules]
     failed = F.filter(
@@ -146,10 +171,16 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     return judged.select("row.*", *added)
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The documents that pass every rule, with their own columns only."""
+def keep_good(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", lang: str | None = None
+) -> DataFrame:
+    """The documents that pass every rule, with their own columns only.
+
+    The edge cases are those of ``judge``: null and empty texts go, rows that repeat stay or go together,
+    and columns of any name, those of the counts among them, are given back as they were.
+    """
     whole = F.struct(*columns(docs)).alias("row")
-    return judge(docs.select(whole, F.col(text).alias("judged_text")), rules, "judged_text").filter(
-        "kept"
-    ).select("row.*")
+    named = quoted(lang).cast("string") if lang else F.lit(None).cast("string")
+    read = docs.select(whole, F.col(text).alias("judged_text"), named.alias("own_lang"))
+    return judge(read, rules, "judged_text", "own_lang").filter("kept").select("row.*")
 

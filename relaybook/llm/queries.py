@@ -278,13 +278,15 @@ _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 
 def quality_sql(documents: str = "documents", keep: str = "doc_id") -> str:
     """Documents with the counts and verdicts of the quality rules, as SQL."""
+    covered = ", ".join(f"'{name}'" for name in quality.COVERED)
+    other = f" OR n_other_letters * 2 >= greatest(word_chars, 1) OR lang NOT IN ({covered})"
     rules = []
     for rule in quality.RULES:
         value = f"{rule.metric}::DOUBLE / greatest({rule.per}, 1)"
         if rule.at_least is not None:
-            rules.append(f"{value} >= {rule.at_least}")
+            rules.append(f"{value} >= {rule.at_least}{other if rule.covered else ''}")
         if rule.at_most is not None:
-            rules.append(f"{value} <= {rule.at_most}")
+            rules.append(f"{value} <= {rule.at_most}{other if rule.covered else ''}")
     return rf"""
     WITH split AS (
         SELECT *, {_WORDS} AS ws,
@@ -306,19 +308,20 @@ def quality_sql(documents: str = "documents", keep: str = "doc_id") -> str:
             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
             len(list_distinct(flatten(list_transform(ss, lambda s: range(s, s + {quality.WINDOW})))))::BIGINT AS n_repeat_words,
             len(ls)::BIGINT AS n_lines,
-            len(list_filter(ws, lambda w: list_contains([{_STOP}], lower(w))))::BIGINT AS n_stop_words
+            len(list_filter(ws, lambda w: list_contains([{_STOP}], lower(w))))::BIGINT AS n_stop_words,
+            len(regexp_extract_all(coalesce(text, ''), '[\x{{0370}}-\x{{1DFF}}\x{{2E80}}-\x{{D7FF}}\x{{F900}}-\x{{FAFF}}]'))::BIGINT AS n_other_letters
         FROM starts),
     based AS (
         SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed
         FROM counted)
-    SELECT {keep}, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, base_failed,
-        NOT base_failed AND {" AND ".join(rules)} AS kept
+    SELECT {keep}, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, n_other_letters, base_failed,
+        NOT base_failed AND {" AND ".join(f"coalesce({rule}, false)" for rule in rules)} AS kept
     FROM based"""
 
 
 @register(quality_sql())
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents"))
+    judged = quality.judge(table(spark, sf_dir, "documents"), lang="lang")
     return judged.select("doc_id", *quality.METRICS, "base_failed", "kept")
 
 
