@@ -18,8 +18,6 @@ _UNIT = r"\n+|(?<=[.!?])[ \t\r]+"
 #: Where a paragraph ends (an empty line), and a run of lines with letters or digits.
 _PARAGRAPH = r"\n[ \t\r\n]*\n"
 _STANZA = r"\n[^A-Za-z0-9]*\n"
-#: Runs of a long template's length that begin within that length.
-STEPS = 32
 
 
 def terms(text: Column) -> Column:
@@ -135,18 +133,38 @@ def blocks(text: Column, is_license: Column) -> Column:
 
 
 def windows(shape: Column, words: Column, threshold: float) -> Column:
-    """Runs of words as long as the template that begin with a term of it and may reach the threshold.
+    """Runs of words as long as the template where what they share with it peaks.
 
-    They are taken wherever they lie, over the ends of lines and sentences and inside of these. A run
-    begins at every place, for templates of over ``2 * STEPS`` terms at every n-th, so that a template
-    is met but for one in ``STEPS`` of its terms at most.
+    A run may begin at every place, over the ends of lines and sentences and inside of these. A run's
+    share is the sum of idf times weight over its words; of runs that begin side by side, those count
+    that share more than the one before and no less than the one after, so a notice is met at its first
+    word wherever it stands. Runs that can not reach the threshold are left out by a bound of the cosine.
     """
     size = shape["size"]
-    every = F.greatest(F.lit(1), F.floor(size / STEPS).cast("int"))
-    places = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.size(words), every)).otherwise(
-        F.array().cast("array<int>")
-    )
-    begun = F.filter(places, lambda at: (every > 1) | F.map_contains_key(shape["known"], F.get(words, at - 1)))
+    nothing = F.struct(F.lit(0.0).alias("product"), F.lit(1.0).alias("square"))
+    worth = F.transform(words, lambda word: F.coalesce(
+        let(F.element_at(shape["known"], word), lambda of: F.when(of.isNotNull(), F.struct(
+            (of["idf"] * of["weight"]).alias("product"), F.greatest(of["idf"] * of["idf"], F.lit(1.0)).alias("square"),
+        ))), nothing,
+    ))
+
+    def summed(values: Column) -> Column:
+        places = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda at: F.aggregate(
+            F.slice(values, at, size), nothing.withField("square", F.lit(0.0)),
+            lambda sums, one: F.struct((sums["product"] + one["product"]).alias("product"),
+                                       (sums["square"] + one["square"]).alias("square")),
+        ))
+
+    def peaks(sums: Column) -> Column:
+        places = F.transform(sums, lambda here, i: F.struct((i + 1).alias("at"), (
+            (here["product"] >= (threshold - 1e-9) * F.sqrt(F.greatest(here["square"], F.lit(1.0))))
+            & ((i == 0) | (here["product"] > F.get(sums, i - 1)["product"]))
+            & (here["product"] >= F.coalesce(F.get(sums, i + 1)["product"], F.lit(0.0)))
+        ).alias("peak")))
+        return F.transform(F.filter(places, lambda place: place["peak"]), lambda place: place["at"])
+
+    begun = let(let(worth, summed), peaks)
     met = F.filter(begun, lambda at: able_unit(shape, F.slice(words, at, size), threshold))
     return F.transform(met, lambda at: F.slice(words, at, size))
 
@@ -159,19 +177,19 @@ def scan_licenses(
     ``license``.
 
     ``templates`` has (license, text). Every line, sentence and paragraph of a file is a unit, so is
-    the whole text of a licence file, and so is every run of words as long as the template, over the
-    ends of lines and inside of them (``windows``); the best cosine of a unit and a template counts if
-    it is ``threshold`` or more, ties by name. Every term weighs by the number of files that hold it, be it of a template or
+    the whole text of a licence file, and so are the runs of words as long as the template, over the
+    ends of lines and inside of them, that share most with it (``windows``); the best cosine of a unit and
+    a template counts if it is ``threshold`` or more, ties by name. Every term weighs by the number of files that hold it, be it of a template or
     not. Licence files give theirs to the directory they are in (the best score, ties by name). A file without a licence of its own has
     that of the nearest directory at or above its own.
 
     Files are filtered by anchor terms inside the scan, then files and units by how much of a template
-    they hold; both are bounds of the cosine, so no match is lost. Only terms of units that can match
-    are shuffled. Directories are resolved once each.
+    they hold; both are bounds of the cosine, so no unit that reaches the threshold is lost. Only terms of
+    units that can match are shuffled. Directories are resolved once each.
 
     Null and empty texts have no header. A null path has no directory and inherits nothing; the
     licence in such a row still counts for itself. Rows with one path and text are scanned once and
-    all get the result. ``carry`` names the columns of ``files`` to return (default: all); texts that
+    all get the result. An empty table gives an empty one. ``carry`` names the columns of ``files`` to return (default: all); texts that
     are not carried are not shuffled. Columns of the input with the names of result columns are
     replaced.
     """
