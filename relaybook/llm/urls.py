@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaybook.llm.common import columns, let, without
+from relaybook.llm.common import columns, without
 
 #: Hex digits of a digest that the join uses; the full digest is compared afterwards.
 SHORT = 8
@@ -31,27 +31,16 @@ def _expression(host: Column, path: Column) -> Column:
     return F.concat(host, F.lit("/"), path)
 
 
-def _shapes(rules: DataFrame) -> list[tuple[int, int]]:
-    """The (labels of the host, length of the path) that rules have: as few as rules are alike."""
-    found = rules.select(
-        F.size(F.split("rule_host", r"\.")).alias("labels"), F.length("rule_path").alias("chars")
-    ).distinct()
-    return sorted((row.labels, row.chars) for row in found.collect())
-
+def _suffixes(host: Column) -> Column:
+    """The host and all domains above it."""
+    labels = F.split(host, r"\.")
+    return F.transform(
+        F.sequence(F.lit(1), F.size(labels)), lambda at: F.array_join(F.slice(labels, at, F.size(labels)), ".")
+    )
 
-def _expansions(shapes: list[tuple[int, int]]) -> Column:
-    """All expressions of a URL that a rule could equal; a URL too short for a shape has none."""
-    def of(labels: Column, size: Column) -> Column:
-        made = []
-        for count, chars in shapes:
-            suffix = F.array_join(F.slice(labels, size - count + 1, count), ".")
-            made.append(F.when(
-                (size >= count) & (F.length("path") >= chars),
-                _expression(suffix, F.substring("path", 1, chars)),
-            ))
-        return F.filter(F.array(*made), lambda x: x.isNotNull())
 
-    return let(F.split("host", r"\."), lambda labels: of(labels, F.size(labels)))
+def _short(digest: Column) -> Column:
+    return F.substring(digest, 1, SHORT)
 
 
 def judge_urls(
@@ -61,14 +50,16 @@ def judge_urls(
 
     ``rules`` has (host, path, verdict). A rule fits its host and all subdomains if the path begins
     with the rule's; of several the longest (host and path together) wins, of equally long ones the
-    one that blocks. Each distinct host and path is expanded once, into the expressions whose shape
-    some rule has, and joined to the rules by the first digits of a digest; the whole digest is
-    compared on what meets. Which side is sent around is left to the measured sizes; rules that fit
-    most pages are joined on pages that are distinct.
-
-    A null url, or one without ``://``, has empty host and path. No rule: null, and ``otherwise``.
-    A rule with a null host, path or verdict is left out; rules may repeat. Columns of the input with
-    the names of result columns are replaced.
+    one that blocks. Each distinct host and path is expanded once: its host into suffixes, and for a
+    suffix that some rules have, its path into prefixes of the lengths that the paths of these rules have.
+    Both joins, to the rules' hosts and to the rules, are by the first digits of a digest; the whole digest
+    is compared on what meets. The plan is the same for any number of rules. Which side is sent around is
+    left to the measured sizes; rules that fit most pages are joined on pages that are distinct.
+
+    A null url, or one without ``://``, has empty host and path; urls of any length are read whole. No
+    rule: null, and ``otherwise``. A rule with a null host, path or verdict is left out; rules may repeat.
+    Pages that repeat are judged alike and all kept; an empty table gives an empty one, and without rules
+    all pages get ``otherwise``. Columns of the input with the names of result columns are replaced.
     """
     if otherwise not in ("allow", "block"):
         raise ValueError("a verdict is allow or block")
@@ -76,26 +67,30 @@ def judge_urls(
         F.translate("host", _UPPER, _UPPER.lower()).alias("rule_host"),
         F.col("path").alias("rule_path"), "verdict",
     ).filter("rule_host <> '' AND rule_path IS NOT NULL AND verdict IS NOT NULL").distinct()
-    shapes = _shapes(known)
     split = pages.select(
         F.struct(*columns(without(pages, "host", "path", "rule", "verdict"))).alias("row"),
         host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
     )
-    if not shapes:
-        return split.select("row.*", "host", "path", F.lit(None).cast("string").alias("rule"),
-                            F.lit(otherwise).alias("verdict"))
+    host_digest = F.sha2("rule_host", 256)
+    hosts = known.groupBy("rule_host").agg(
+        # Lengths are few beside rules: they are numbers below the longest path.
+        F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths")
+    ).select(_short(host_digest).alias("short"), host_digest.alias("digest"), "lengths")
     digest = F.sha2(_expression(F.col("rule_host"), F.col("rule_path")), 256)
     hashed = known.select(
-        F.substring(digest, 1, SHORT).alias("short"), digest.alias("digest"),
+        _short(digest).alias("short"), digest.alias("digest"),
         F.concat("rule_host", "rule_path").alias("rule"), "verdict",
     )
     distinct = split.select("host", "path").distinct()
-    expanded = distinct.select(
-        "host", "path", F.explode(_expansions(shapes)).alias("expression")
-    )
-    asked = expanded.select(
-        "host", "path", F.sha2("expression", 256).alias("asked")
-    ).withColumn("short", F.substring("asked", 1, SHORT))
+    suffixes = distinct.select("host", "path", F.explode(_suffixes(F.col("host"))).alias("suffix")).withColumn(
+        "asked", F.sha2("suffix", 256)
+    ).withColumn("short", _short(F.col("asked")))
+    able = suffixes.join(hosts, "short").filter("asked = digest")
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    expanded = able.select("host", "path", "suffix", F.explode(fitting).alias("chars"))
+    asked = expanded.select("host", "path", F.sha2(
+        _expression(F.col("suffix"), F.substring(F.col("path"), F.lit(1), F.col("chars"))), 256
+    ).alias("asked")).withColumn("short", _short(F.col("asked")))
     met = asked.join(hashed, "short").filter("asked = digest")
     blocks = F.when(F.col("verdict") == "block", 1).otherwise(0)
     best = met.groupBy("host", "path").agg(
