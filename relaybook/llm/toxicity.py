@@ -1,7 +1,8 @@
 """Toxicity: a linear classifier of words and word pieces, regularised by counterfactuals.
 
-Terms that name groups of people are swapped in labelled texts, and the model is punished for every
-change of score, so that it learns from what is said and not from who is mentioned.
+Terms that name groups of people are swapped in labelled texts, and every labelled text is also taken
+with a neutral mention of a group, in each version of it. The model is punished for every change of
+score, so that it learns from what is said and not from who is mentioned.
 """
 
 from __future__ import annotations
@@ -73,6 +74,34 @@ def swaps(words: Counter[str], identity=IDENTITY) -> list[Counter[str]]:
     return out
 
 
+class Mentions:
+    """Each text with one more word: a term of one group, for every term of the group that is its turn.
+
+    A text's score is a mean over its words, so that of the longer text follows from the text's own mean
+    and the weight of the term; no second text is laid out.
+    """
+
+    def __init__(self, texts: list[Counter[str]], identity=IDENTITY):
+        self.terms = [term for group in identity for term in group]
+        first = np.cumsum([0, *(len(group) for group in identity)])
+        turns = [(i, n) for i in range(len(texts)) for n in range(*first[i % len(identity):][:2])] if self.terms else []
+        self.origin = np.array([i for i, _ in turns], np.int64)
+        self.term = np.array([n for _, n in turns], np.int64)
+        words = np.array([max(1, text.total()) for text in texts], float)[self.origin]
+        self.kept, self.added = words / (words + 1), 1 / (words + 1)
+        found = [features(term) for term in self.terms]
+        self.feature = np.array([f for each in found for f in each], np.int64)
+        self.owner = np.repeat(np.arange(len(found)), [len(each) for each in found])
+
+    def product(self, means: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        terms = np.bincount(self.owner, weights[self.feature], max(1, len(self.terms)))
+        return means[self.origin] * self.kept + terms[self.term] * self.added
+
+    def gradient(self, slope: np.ndarray) -> np.ndarray:
+        terms = np.bincount(self.term, slope * self.added, max(1, len(self.terms)))
+        return np.bincount(self.feature, terms[self.owner], FEATURES)
+
+
 class Rows:
     """Sparse rows: of each feature, its share of the text's words."""
 
@@ -125,7 +154,9 @@ def fit(
 
     Each feature's weight is its log odds times a factor; the factors are fitted by Adam, over all
     rows in each step, with both labels weighing alike. Added to the log loss are ``penalty`` times
-    the mean square of the change of score under swaps, and ``decay`` times the factors' squares.
+    the mean square of the change of score under swaps, the same for neutral mentions, and ``decay`` times
+    the factors' squares. Words of groups have no weight of their own where no fitted text holds them; the
+    pieces of words that they share with others have, and are what mentions bring to light.
     """
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
@@ -135,7 +166,7 @@ def fit(
     known: dict[str, list[int]] = {}
     pairs = [(i, changed) for i, words in enumerate(sets) for changed in swaps(words, identity)]
     rows, other = Rows(sets, known), Rows([changed for _, changed in pairs], known)
-    origin = np.array([i for i, _ in pairs], np.int64)
+    origin, mentions = np.array([i for i, _ in pairs], np.int64), Mentions(sets, identity)
     odds = _log_odds(rows, y)
     rows, other = rows.only(odds != 0), other.only(odds != 0)
     weigh = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
@@ -144,16 +175,26 @@ def fit(
     bias = -float(np.median(rows.product(odds * factors))) - 2.0
     mean, square = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
     for step in range(1, steps + 1):
-        score = _sigmoid(rows.product(odds * factors) + bias)
+        means = rows.product(odds * factors)
+        score = _sigmoid(means + bias)
         slope = weigh * (score - y)
         change = np.zeros(0)
+        told, at = np.zeros(0), mentions.origin
+        if len(at):
+            named = _sigmoid(mentions.product(means, odds * factors) + bias)
+            both = 2 * penalty * (score[at] - named) / len(at)
+            told = -both * named * (1 - named)
+            slope = slope + np.bincount(at, both * score[at] * (1 - score[at]), len(y))
         if len(origin):
             swapped = _sigmoid(other.product(odds * factors) + bias)
             both = 2 * penalty * (score[origin] - swapped) / len(origin)
             slope = slope + np.bincount(origin, both * score[origin] * (1 - score[origin]), len(y))
             change = -both * swapped * (1 - swapped)
-        gradient = rows.gradient(slope) + (other.gradient(change) if len(origin) else 0.0)
-        full = np.append(gradient * odds + 2 * decay * factors / FEATURES, slope.sum() + change.sum())
+        # A mention's score moves with the mean of its text as well as with its term.
+        through = slope + np.bincount(at, told * mentions.kept, len(y)) if len(at) else slope
+        gradient = rows.gradient(through) + (other.gradient(change) if len(origin) else 0.0)
+        gradient = gradient + (mentions.gradient(told) if len(at) else 0.0)
+        full = np.append(gradient * odds + 2 * decay * factors / FEATURES, slope.sum() + change.sum() + told.sum())
         mean, square = 0.9 * mean + 0.1 * full, 0.99 * square + 0.01 * full * full
         moved = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
         factors, bias = factors - moved[:-1], bias - float(moved[-1])
@@ -190,23 +231,75 @@ class Scorer:
         return float(_sigmoid(total / max(1, len(words)) + self.bias))
 
 
-def train(
+def mention_gap(texts: list[str], model: tuple[dict[int, float], float], identity=IDENTITY) -> float:
+    """How much a neutral mention moves the score, on average over texts, groups and their terms.
+
+    For each text and group, this is the difference between the highest and the lowest score among the
+    text with each of the group's terms added.
+    """
+    scorer = Scorer(*model)
+    gaps = []
+    for text in texts:
+        for group in identity:
+            scores = [scorer.score(f"{text} {term}") for term in group]
+            gaps.append(max(scores) - min(scores))
+    return float(np.mean(gaps)) if gaps else 0.0
+
+
+def mention_change(texts: list[str], model: tuple[dict[int, float], float], identity=IDENTITY) -> float:
+    """The mean absolute change of score when a group's term is added to a text."""
+    scorer = Scorer(*model)
+    changes = [abs(scorer.score(f"{text} {term}") - scorer.score(text)) for text in texts for group in identity for term in group]
+    return float(np.mean(changes)) if changes else 0.0
+
+
+#: Characters of all fitted texts together, at most: the driver holds them while it fits.
+FIT_CHARS = 64_000_000
+
+
+def fitted_rows(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    label: str = "toxic", most: int = FIT_ROWS, **options,
-) -> tuple[dict[int, float], float]:
-    """Fit on at most ``most`` labelled documents, outside the held-out fold, taken by hash of id.
+    label: str = "toxic", most: int = FIT_ROWS, chars: int = FIT_CHARS,
+) -> list[tuple[object, int, str]]:
+    """(id, label, text) of the labelled documents to fit on, as ``train`` takes them.
 
-    The ids (``most`` rows) go to all tasks and one text for each comes back. Of several labels of an
-    id the highest counts; null labels do not.
+    They are taken in the order of a hash of the id, as many as ``most`` and as ``chars`` allow, and are
+    looked at by their lengths before any text comes to the driver.
     """
     ids = labels.select(F.col(doc_id).alias("fit_id"), F.col(label).cast("int").alias("y")).filter(
         F.col("y").isNotNull() & F.col("fit_id").isNotNull() & ~held_out(F.col("fit_id"))
     ).groupBy("fit_id").agg(F.max("y").alias("y"))
     chosen = ids.orderBy(F.xxhash64("fit_id"), "fit_id").limit(most)
-    found = docs.select(F.col(doc_id).alias("own_id"), F.col(text).alias("t")).join(
+    named = docs.select(F.col(doc_id).alias("own_id"), F.col(text).alias("t"))
+    sizes = named.select("own_id", F.length("t").alias("n")).join(
         F.broadcast(chosen), F.col("own_id") == F.col("fit_id")
-    ).groupBy("fit_id").agg(F.max("y").alias("y"), F.max("t").alias("t"))
-    rows = sorted((r.fit_id, r.y, r.t or "") for r in found.collect())
+    ).groupBy("fit_id").agg(F.max("y").alias("y"), F.max(F.coalesce("n", F.lit(0))).alias("n"))
+    # ``most`` rows of three numbers.
+    taken, held = [], 0
+    for row in sorted(sizes.withColumn("h", F.xxhash64("fit_id")).collect(), key=lambda r: (r.h, r.fit_id)):
+        if held + row.n <= chars:
+            held += row.n
+            taken.append((row.fit_id, row.y))
+    if not taken:
+        return []
+    able = docs.sparkSession.createDataFrame(taken, ids.schema)
+    found = named.join(F.broadcast(able), F.col("own_id") == F.col("fit_id")).groupBy("fit_id").agg(
+        F.max("y").alias("y"), F.max("t").alias("t")
+    )
+    return sorted((r.fit_id, r.y, r.t or "") for r in found.collect())
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    label: str = "toxic", most: int = FIT_ROWS, chars: int = FIT_CHARS, **options,
+) -> tuple[dict[int, float], float]:
+    """Fit on at most ``most`` labelled documents, outside the held-out fold, taken by hash of id.
+
+    Their texts have ``chars`` characters together at most; one that would pass that is left out of the
+    fit. The ids (``most`` rows) go to all tasks and one text for each comes back. Of several labels of an
+    id the highest counts; null labels do not. Without rows to fit on, the model knows no words.
+    """
+    rows = fitted_rows(docs, labels, doc_id, text, label, most, chars)
     return fit([r[2] for r in rows], [r[1] for r in rows], **options)
 
 
@@ -216,8 +309,8 @@ def score_toxicity(
     """Documents with ``score`` (0 to 1) and ``predicted`` in place of their text.
 
     Every text is scored whole and by itself, from its text alone; null counts as empty and gets the
-    score of no words. Rows that repeat are scored alike. Columns with the names of result columns
-    are replaced.
+    score of no words. Rows that repeat are scored alike; an empty table gives an empty one. Columns with
+    the names of result columns are replaced.
     """
     names = [n for n in without(docs, "score", "predicted").columns if n != text]
     rows = docs.select(*[quoted(n) for n in names], quoted(text).alias("scored_text"))
