@@ -11,6 +11,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 from pathlib import Path
 
 import pyarrow as pa
@@ -31,6 +32,9 @@ _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
 #: Characters whose class is the same in every version of Unicode and every regex library.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-ɏ]*")
+#: Borders between a plain character that is no white space and white space: no pre-token goes over one,
+#: as white space stands at the beginning of a pre-token or makes up all of it.
+_BORDER = re.compile("(?<=[\x21-\x7e¡-ɏ])(?=[\t\n\r\x20])")
 #: The byte-level pre-token pattern over plain characters.
 _PRE_TOKEN = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
@@ -81,15 +85,29 @@ class Counter:
                 self.rest[token] = known
         return known
 
+    def _plain(self, text: str) -> int:
+        found = _PRE_TOKEN.findall(text)
+        rest = [token for token in found if token not in self.whole]
+        return len(found) - len(rest) + sum(map(self._merged, rest))
+
     def count(self, text: str) -> int:
-        """Texts with other characters, or with a special token's string, go to the library whole."""
+        """The tokens of a text.
+
+        A text with characters whose class may differ between libraries is cut at borders that no
+        pre-token goes over, and only the stretches with such characters go to the library. So does a text
+        with a special token's string, as a whole.
+        """
         if not text:
             return 0
-        if _PLAIN.fullmatch(text) is None or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             return len(self.library.encode(text, add_special_tokens=False).ids)
-        found = _PRE_TOKEN.findall(text)
-        rest = [token for token in found if token not in self.whole]
-        return len(found) - len(rest) + sum(map(self._merged, rest))
+        if _PLAIN.fullmatch(text):
+            return self._plain(text)
+        total = 0
+        for plain, pieces in groupby(_BORDER.split(text), lambda piece: _PLAIN.fullmatch(piece) is not None):
+            stretch = "".join(pieces)
+            total += self._plain(stretch) if plain else self._merged(stretch)
+        return total
 
 
 def _digest(path: str) -> str:
@@ -118,7 +136,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = LI
 
     ``path`` names a byte-level BPE file that all machines have, checked by its digest. Each row is
     counted by itself, whole, so nothing is shuffled. Null texts count as empty: no bytes, no tokens.
-    Rows that repeat are counted alike. Columns with the names of result columns are replaced.
+    Rows that repeat are counted alike; an empty table gives an empty one. Columns with the names of result columns are replaced.
     """
     digest = _digest(path)
     # At most one string per entry of the vocabulary.
