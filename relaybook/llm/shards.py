@@ -34,6 +34,11 @@ class SlotMap:
         return [row.shard for row in found.orderBy("slot").collect()]
 
 
+    def versions(self) -> list[int]:
+        found = self.spark.read.schema("slot int, shard int, version int").parquet(self.path)
+        return sorted(row.version for row in found.select("version").distinct().collect())
+
+
 def spread(slot_bytes: list[int], shards: int) -> list[int]:
     """A first map: the largest slot left goes to the shard with the fewest bytes."""
     if shards < 1:
@@ -99,6 +104,46 @@ def rebalanced(shard_of: list[int], slot_bytes: list[int], shards: int, slack: f
     return edited
 
 
+def _records(docs: DataFrame, doc_id: str, text: str, carry: list[str] | None) -> DataFrame:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(
+        carried(docs, carry, *ADDED).alias("row"), F.col(doc_id).alias("id"),
+        (F.octet_length(whole) + OVERHEAD).cast("long").alias("size"),
+        F.crc32(whole).alias("text_crc32"),
+        F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(SLOTS)).cast("int").alias("virtual_slot"),
+    )
+
+
+def _loads(records: DataFrame) -> tuple[list[int], list[int]]:
+    """Bytes and rows of every slot."""
+    slot_bytes, slot_rows = [0] * SLOTS, [0] * SLOTS
+    per_slot = records.groupBy("virtual_slot").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    for row in per_slot.collect():
+        slot_bytes[row.virtual_slot], slot_rows[row.virtual_slot] = row["size"], row.n
+    return slot_bytes, slot_rows
+
+
+def rebalance(
+    docs: DataFrame, shards: int, slot_map: SlotMap, version: int, doc_id: str = "doc_id",
+    text: str = "text", slack: float = 0.01,
+) -> int:
+    """Edit a version of the map for documents whose bytes have drifted, and return the version to use.
+
+    That is a new one, the next of the map, in which only slots of overfull shards have moved; or
+    ``version`` itself where no shard holds over ``slack`` too much or nothing can be evened out.
+    ``shard`` with the returned version places the documents by it. Edge cases are those of ``shard``; an
+    empty table moves nothing.
+    """
+    slot_bytes, _ = _loads(_records(docs, doc_id, text, []))
+    before = slot_map.read(version)
+    after = rebalanced(before, slot_bytes, shards, slack)
+    if after == before:
+        return version
+    following = max(slot_map.versions()) + 1
+    slot_map.write(following, after)
+    return following
+
+
 def shard(
     docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text",
     slot_map: SlotMap | None = None, version: int | None = None, carry: list[str] | None = None,
@@ -122,17 +167,8 @@ def shard(
     replaced.
     """
     spark = docs.sparkSession
-    whole = F.coalesce(F.col(text), F.lit(""))
-    records = docs.select(
-        carried(docs, carry, *ADDED).alias("row"), F.col(doc_id).alias("id"),
-        (F.octet_length(whole) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(whole).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(SLOTS)).cast("int").alias("virtual_slot"),
-    )
-    slot_bytes, slot_rows = [0] * SLOTS, [0] * SLOTS
-    per_slot = records.groupBy("virtual_slot").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    for row in per_slot.collect():
-        slot_bytes[row.virtual_slot], slot_rows[row.virtual_slot] = row["size"], row.n
+    records = _records(docs, doc_id, text, carry)
+    slot_bytes, slot_rows = _loads(records)
     store = slot_map or SlotMap(spark, work_dir(spark, "slot-map"))
     if version is None:
         shard_of = spread(slot_bytes, shards)
