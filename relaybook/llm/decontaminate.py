@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relaybook.llm.common import map_arrow, quoted, without
+from relaybook.llm.common import map_arrow, quoted, stash, without
 from relaybook.llm.fmindex import FMIndex
 
 WINDOW = 10
-#: Words of a shard, and bytes of item text that one pass over the documents looks for.
+#: Words of a shard of documents.
 SHARD_WORDS = 2_000_000
+#: Windows, and bytes of item text, that one pass over the documents looks for. A window takes some 150
+#: bytes in the driver and in each Python worker, and a distinct word some 120.
+BLOCK_WINDOWS = 500_000
 BLOCK_BYTES = 32_000_000
 
 SPAN = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
@@ -43,27 +46,46 @@ def split_words(text: bytes) -> list[bytes]:
 
 
 class Phrases(NamedTuple):
-    """The distinct windows of some items, over the numbered words that occur in them."""
+    """The distinct windows of some items, over the numbered words that occur in them, in flat arrays."""
 
     numbers: dict[bytes, int]
     windows: np.ndarray
     lengths: np.ndarray
-    items: list[list[str]]
+    #: The ids of items, and for each window where its own begin and end in ``holders``, which are places in ``ids``.
+    ids: list[str]
+    bounds: np.ndarray
+    holders: np.ndarray
 
     @classmethod
     def of(cls, rows, window: int) -> Phrases:
         numbers: dict[bytes, int] = {}
-        found: defaultdict[tuple[int, ...], set] = defaultdict(set)
+        names: dict[str, int] = {}
+        parts, owners = [], []
         for item, text in rows:
             # 0 ends a text, 1 parts runs, so words are numbered from 2.
-            ids = [numbers.setdefault(w, len(numbers) + 2) for w in split_words(text)]
-            for at in range(max(1, len(ids) - window + 1) if ids else 0):
-                found[tuple(ids[at:at + window])].add(item)
-        lengths = np.array([len(w) for w in found], np.int64)
-        windows = np.zeros((len(found), window), np.int64)
-        for row, ids in zip(windows, found, strict=True):
-            row[: len(ids)] = ids
-        return cls(numbers, windows, lengths, [sorted(x for x in i if x is not None) for i in found.values()])
+            found = np.array([numbers.setdefault(w, len(numbers) + 2) for w in split_words(text)], np.int32)
+            if not len(found):
+                continue
+            if len(found) < window:
+                found = np.concatenate([found, np.zeros(window - len(found), np.int32)])
+            parts.append(np.lib.stride_tricks.sliding_window_view(found, window).copy())
+            owner = -1 if item is None else names.setdefault(item, len(names))
+            owners.append(np.full(len(parts[-1]), owner, np.int32))
+        every = np.concatenate([*parts, np.zeros((0, window), np.int32)])
+        owner = np.concatenate([*owners, np.zeros(0, np.int32)])
+        # Rows as opaque bytes sort as fast as numbers do.
+        opaque = np.ascontiguousarray(every).view(np.dtype((np.void, 4 * window))).ravel()
+        _, first, which = np.unique(opaque, return_index=True, return_inverse=True)
+        windows = every[first]
+        pairs = np.unique(which.astype(np.int64) * (len(names) + 1) + owner + 1)
+        held, holders = np.divmod(pairs, len(names) + 1)
+        # An item without an id covers words and is not listed.
+        held, holders = held[holders > 0], holders[holders > 0] - 1
+        return cls(numbers, windows, (windows > 0).sum(1), list(names),
+                   np.searchsorted(held, np.arange(len(windows) + 1)), holders)
+
+    def items(self, which: int) -> list[str]:
+        return [self.ids[n] for n in self.holders[self.bounds[which]:self.bounds[which + 1]]]
 
 
 def _matches(numbers: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +135,7 @@ def _search_shard(batches: list[pa.RecordBatch], tokens, sizes, phrases: Phrases
     found: defaultdict[int, set] = defaultdict(set)
     for pair in np.unique(doc * max(1, len(phrases.lengths)) + phrase):
         at, which = divmod(int(pair), len(phrases.lengths))
-        found[at].update(phrases.items[which])
+        found[at].update(phrases.items(which))
     hits = {int(d): _spans(hit, starts[d], ends[d] - 1) for d in np.unique(doc)}
     row = 0
     for batch in batches:
@@ -214,6 +236,7 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
     item_text: str = "text", window: int = WINDOW, carry: list[str] | None = None,
     cutting: bool = False, block_bytes: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS,
+    block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """Documents with ``n_words``, ``spans`` and ``items``; with ``cutting``, without the spans.
 
@@ -221,17 +244,21 @@ def decontaminate(
     are the first and last word (from 0) of each stretch that windows cover, merged where they
     overlap or touch, ``items`` the ids, as strings in their order, of items with a window in the text.
 
-    Items go to the tasks in blocks of about ``block_bytes`` of text (one pass over the documents for
-    each), so what is broadcast is bounded; a shard of documents has about ``shard_words`` words, or
-    one document.
+    Items go to the tasks in blocks of about ``block_windows`` windows and ``block_bytes`` of text, and
+    documents are written between two blocks, so a driver or task holds one block at a time and its size
+    is bounded; an item is not cut. A shard of documents has about ``shard_words`` words, or one document.
 
     Null and empty texts have no words and no spans. Items without words have no window; an item
     without an id covers words but is not listed. Rows that repeat are treated alike; repeated items
-    count once by id. ``carry`` names the columns of ``docs`` to return (default: all). Columns of
+    count once by id. An empty table gives an empty one, whichever side it is. ``carry`` names the columns of ``docs`` to return (default: all). Columns of
     the input with the names of result columns are replaced.
     """
-    size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
+    # Runs of word characters, counted without laying the words out.
+    held = F.regexp_count(F.coalesce(F.col(item_text), F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    size, windows = benchmark.agg(
+        F.sum(F.octet_length(item_text)), F.sum(F.greatest(held - (window - 1), F.lit(1)))
+    ).first()
+    blocks = max(1, math.ceil((size or 0) / block_bytes), math.ceil((windows or 0) / block_windows))
     source = without(docs, "found_words", "found_spans", "found_items")
     carry = list(carry if carry is not None else without(source, "n_words", "spans", "items").columns)
     rows = source.select(*[quoted(name) for name in dict.fromkeys([*carry, text])])
@@ -242,6 +269,8 @@ def decontaminate(
         part = items.filter(F.pmod(F.xxhash64("text", "id"), F.lit(blocks)) == block)
         phrases = Phrases.of([(r["id"], bytes(r["text"])) for r in part.collect()], window)
         rows = _pass(rows, phrases, text, carry, block == blocks - 1, cutting, shard_words)
+        if block < blocks - 1:
+            rows = stash(rows, "decontaminate-pass")
     return rows.withColumnsRenamed(
         {"found_words": "n_words", "found_spans": "spans", "found_items": "items"}
     )
@@ -250,9 +279,12 @@ def decontaminate(
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents, with their own columns, and the benchmark's passages cut out of their texts.
 
-    Every document stays; one that is nothing but passages stays with what stood around them.
+    Every document stays; one that is nothing but passages stays with what stood around them. Null and
+    empty texts stay as they are, columns may have any names, and the text column is found by its name as
+    Spark compares names. Other edge cases are those of ``decontaminate``.
     """
     renamed = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
-    text = renamed.columns[docs.columns.index(options.pop("text", "text"))]
+    wanted = options.pop("text", "text").lower()
+    text = renamed.columns[[name.lower() for name in docs.columns].index(wanted)]
     cleaned = decontaminate(renamed, benchmark, text=text, cutting=True, **options)
     return cleaned.select(*renamed.columns).toDF(*docs.columns)
