@@ -147,7 +147,7 @@ def _log_odds(rows: Rows, y: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    texts: list[str], labels: list[int], penalty: float = 4.0, decay: float = 1e-3, steps: int = 60,
+    texts: list[str], labels: list[int], penalty: float = 4.0, decay: float = 1e-3, steps: int = 200,
     rate: float = 0.5, identity=IDENTITY,
 ) -> tuple[dict[int, float], float]:
     """Weights (those that are not 0) and bias of a logistic model. Without both labels it knows only their rate.
