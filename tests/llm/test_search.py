@@ -1,0 +1,260 @@
+"""Ranked search, the Merkle manifest and nearest vectors, against plain versions and on edge rows."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from plain import SF_DIR
+from pyspark.sql import functions as F
+
+from relaybook.llm import lexical, merkle, neighbours, queries
+from relaybook.llm.common import table
+
+# Ranked search ----------------------------------------------------------------------------------
+
+
+def plain_terms(text):
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def plain_ranks(docs, items, k):
+    """Rows (item_id, rank, doc_id, score) by scoring every document for every item."""
+    held = [(doc_id, collections.Counter(plain_terms(text))) for doc_id, text in docs]
+    held = [(doc_id, terms, terms.total()) for doc_id, terms in held if terms]
+    count, length = len(held), sum(n for *_, n in held)
+    df = collections.Counter(t for _, terms, _ in held for t in terms)
+    weight = {t: math.floor(1000 * math.log((2 * count + 2) / (2 * n + 1))) for t, n in df.items()}
+    rows = []
+    for item_id, text in items:
+        scored = []
+        for doc_id, terms, n in held:
+            m = 100 - 25 + (25 * n * count) // length
+            score = sum(weight[t] * ((10**9 * terms[t]) // (1000 * terms[t] + 12 * m)) for t in plain_terms(text) if t in terms)
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        rows += [(item_id, rank, doc_id, -score) for rank, (score, _, _, doc_id) in enumerate(sorted(scored)[:k], 1)]
+    return rows
+
+
+def ranked(found):
+    return sorted(map(str, ((r.item_id, r["rank"], r.doc_id, r.score) for r in found.collect())))
+
+
+@pytest.mark.parametrize("shard_entries", [10**6, 60])
+def test_ranks_against_plain(spark, docs, none, shard_entries):
+    stored = [(r.doc_id, r.text) for r in docs.collect()]
+    items = [(1, "the quick AGAIN again fox"), (2, None), (3, " . "), (4, "nowhere"), (5, "w5x5 w6x6 again a 東京 same"),
+             (5, "words a"), (None, "a"), (7, "again and again")]
+    rows = spark.createDataFrame(items, "item_id long, text string").withColumn("Term", F.lit("clash"))
+    for k in (1, 3, 20):
+        assert ranked(lexical.ranked(docs, rows, k, shard_entries=shard_entries)) == sorted(map(str, plain_ranks(stored, items, k)))
+    assert lexical.ranked(none, rows).count() == lexical.ranked(docs, rows.limit(0)).count() == 0
+    assert lexical.ranked(docs, rows).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+@pytest.mark.parametrize("step", [1, 3, 64])
+def test_best_positions_stop_early_and_lose_nothing(step):
+    """Random lists with many ties; a search that may stop reads less than all entries."""
+    pick, read = np.random.default_rng(step), []
+    for _ in range(30):
+        n = 400
+        lists = [(t, d, int(pick.integers(1, 6)) ** 4) for t in range(5) for d in pick.choice(n, pick.integers(1, n), replace=False)]
+        term, doc, impact = (np.array(x, np.int64) for x in zip(*lists, strict=True))
+        ids = n - doc
+        made = lexical.Lists(term, doc, ids, impact)
+        asked, weights = [0, 1, 2, 3, 4, 9], [3, 1, 0, 2, 2, 5]
+        scores = collections.Counter()
+        for t, d, f in lists:
+            scores[d] += f * weights[t]
+        expected = sorted(((-s, n - d) for d, s in scores.items() if s > 0))[:7]
+        places, found = made.best(asked, weights, 7, step)
+        assert [(-s, int(made.doc_ids[p])) for p, s in zip(places, found.tolist(), strict=True)] == expected
+        read.append(len(places))
+    assert read
+
+
+def test_a_search_ends_before_the_lists_do(monkeypatch):
+    """One document leads all lists by far, so the first step is enough."""
+    n = 5000
+    term, doc = np.repeat([0, 1], n), np.tile(np.arange(n), 2)
+    impact = np.where(doc == 77, 10**6, 1000 - doc // 10)
+    made = lexical.Lists(term, doc, doc, impact)
+    seen = []
+    original = np.unique
+    monkeypatch.setattr(lexical.np, "unique", lambda x, **o: seen.append(len(x)) or original(x, **o))
+    places, scores = made.best([0, 1], [1, 1], 1)
+    assert made.doc_ids[places].tolist() == [77] and scores.tolist() == [2 * 10**6] and sum(seen) <= 2 * lexical.STEP
+
+
+# Merkle manifest --------------------------------------------------------------------------------
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_tree(leaves):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([h("".join(levels[-1][i:i + 2])) for i in range(0, len(levels[-1]), 2)])
+    return levels
+
+
+def plain_path(levels, at):
+    path = []
+    for level in levels[:-1]:
+        other = at ^ 1
+        path.append((other < at, level[other] if other < len(level) else ""))
+        at //= 2
+    return path
+
+
+def plain_manifest(rows):
+    def leaf(r, n_chars):
+        return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (r.doc_id, r.source, r.lang, n_chars, r.text)))
+
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r.lang].append(r)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for name in names:
+        groups[name].sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, leaf(r, r.n_chars)))
+        trees[name] = plain_tree([leaf(r, r.n_chars) for r in groups[name]])
+    top = plain_tree([trees[name][-1][0] for name in names])
+    out = []
+    for n, name in enumerate(names):
+        for i, r in enumerate(groups[name]):
+            path = plain_path(trees[name], i) + plain_path(top, n)
+            tampered = r.doc_id is not None and r.n_chars is not None and zlib.crc32(str(r.doc_id).encode()) % 7 == 0
+            folded = leaf(r, r.n_chars + 1 if tampered else r.n_chars)
+            for first, other in path:
+                folded = h(other + folded if first else folded + other)
+            out.append((r.doc_id, trees[name][0][i], trees[name][-1][0], top[-1][0], h("".join(o for _, o in path)), folded, folded == top[-1][0]))
+    return sorted(map(str, out))
+
+
+def tampered():
+    return {"n_chars": merkle.added_one(F.col("doc_id"), F.col("n_chars"))}
+
+
+def proved(rows):
+    return sorted(str(tuple(r)) for r in merkle.verify(rows, tampered).collect())
+
+
+def test_manifest_of_the_query(spark):
+    rows = table(spark, SF_DIR, "documents").collect()
+    found = queries.op12_merkle_manifest(spark, SF_DIR).collect()
+    assert sorted(str(tuple(r)) for r in found) == plain_manifest(rows)
+    assert 0 < sum(not r.verified for r in found) < len(found)
+
+
+def test_manifest_edges(spark):
+    pick = random.Random(7)
+    rows = [(pick.choice([None, *range(40)]), pick.choice(["a", None, ""]), pick.choice(["en", "é", None, "z", "", "EN"]),
+             pick.choice([None, 0, 5, 2**63 - 1]), pick.choice([None, "", "naïve 東京", "x" * 100_000])) for _ in range(60)]
+    rows += [(7, "a", "en", 5, "same")] * 9 + [(0, "s", "alone", 1, "t")]
+    schema = "doc_id long, source string, lang string, n_chars long, text string"
+    made = spark.createDataFrame(rows, schema)
+    clash = made.select("*", *[F.lit("x").alias(n) for n in ("row", "pos", "tree", "leaf", "level", "digest", "salt")])
+    assert proved(clash) == plain_manifest(made.collect())
+    one = made.filter("lang = 'alone'")
+    assert proved(one) == plain_manifest(one.collect())
+    assert proved(made.limit(0)) == []
+
+
+def test_proofs_name_the_siblings(spark):
+    rows = [(n, "s", "en", 1, str(n)) for n in range(5)]
+    manifest = merkle.build(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string"))
+    proofs = {r.doc_id: r.proof for r in manifest.leaves.join(merkle.climb(manifest), "row").collect()}
+    levels = plain_tree([h(f"1:{n}1:s2:en1:11:{n}") for n in range(5)])
+    assert proofs == {n: "".join(o for _, o in plain_path(levels, n)) for n in range(5)}
+    assert manifest.root == levels[-1][0]
+
+
+# Nearest vectors --------------------------------------------------------------------------------
+
+
+def plain_nearest(ids, vectors, k):
+    out = {}
+    for at, i in enumerate(ids):
+        scores = np.array([float((v.astype(float) * vectors[at].astype(float)).sum()) for v in vectors])
+        order = [j for j in sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j])) if j != at]
+        out[i] = [(ids[j], scores[j]) for j in order[:k]]
+    return out
+
+
+def test_recall_of_the_query(spark):
+    stored = table(spark, SF_DIR, "embeddings").collect()
+    ids = [r.vec_id for r in stored]
+    expected = plain_nearest(ids, np.array([r.embedding for r in stored], np.float32), 20)
+    found = collections.defaultdict(list)
+    for r in queries.op13_nearest_vectors(spark, SF_DIR).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert found.keys() == {i for i in ids if i % 20 == 0}
+    hits = 0
+    for i, rows in found.items():
+        assert [rank for rank, *_ in rows] == list(range(1, 21)) and i not in {v for _, v, _ in rows}
+        assert [s for *_, s in rows] == sorted((s for *_, s in rows), reverse=True)
+        known = {j: s for j, s in plain_nearest_scores(stored, i)}
+        assert all(s == pytest.approx(known[v], abs=1e-12) for _, v, s in rows)
+        hits += len({v for _, v, _ in rows} & {v for v, _ in expected[i]})
+    assert hits / (20 * len(found)) >= 0.95
+
+
+def plain_nearest_scores(stored, i):
+    own = np.array(next(r.embedding for r in stored if r.vec_id == i), float)
+    return [(r.vec_id, float(np.dot(np.array(r.embedding, float), own))) for r in stored]
+
+
+@pytest.mark.parametrize("shape", ["even", "norms", "near"])
+def test_recall_on_other_vectors(spark, shape):
+    """Without structure, with lengths that differ much, and with tight groups; over several shards."""
+    pick = np.random.default_rng(4)
+    vectors = pick.standard_normal((1500, 12))
+    if shape == "norms":
+        vectors *= pick.lognormal(0, 1.5, (1500, 1))
+    if shape == "near":
+        vectors = vectors[pick.integers(0, 30, 1500)] + 0.01 * vectors
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    expected = plain_nearest(list(range(1500)), vectors, 10)
+    found = collections.defaultdict(set)
+    for r in neighbours.nearest(rows, F.col("id") % 50 == 0, 10, shard_rows=400).collect():
+        found[r.query_id].add(r.vec_id)
+    hits = sum(len(found[i] & {v for v, _ in expected[i]}) for i in found)
+    assert len(found) == 30 and hits / 300 >= 0.95
+
+
+def test_vector_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (40, [0.0, 2.0]), (3, [1.0, 0.0]), (None, [1.0, 0.0]),
+            (60, None), (80, []), (100, [0.0, 0.0]), (120, [nan, 1.0]), (140, [inf, 1.0]), (160, [None, 1.0]),
+            (180, [1.0, 2.0, 3.0]), (4, [3.0, 2.0, 1.0]), (200, [1e-300, 0.0]), (5, [-1.0, -0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select(
+        "*", *[F.lit("x").alias(n) for n in ("id", "vector", "score", "shard", "hash")])
+    found = collections.defaultdict(list)
+    for r in neighbours.nearest(frame, F.col("id") % 20 == 0, 3).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    assert found == {
+        0: [(3, 1.0), (20, 1.0), (None, 1.0)], 20: [(0, 1.0), (3, 1.0), (None, 1.0)], 40: [(0, 0.0), (3, 0.0), (5, 0.0)],
+        180: [(4, 10.0)], 200: [(0, 1e-300), (3, 1e-300), (20, 1e-300)],
+    }
+    assert neighbours.nearest(frame.limit(0), F.col("id") % 20 == 0).count() == 0
+    assert neighbours.nearest(frame.filter("vec_id = 180"), F.col("id") % 20 == 0).count() == 0
+
+
+def test_a_vector_that_many_rows_share(spark):
+    rows = spark.range(6000).select(F.col("id").alias("vec_id"), F.when(F.col("id") % 3 == 0, F.array(F.lit(1.0), F.lit(1.0))).otherwise(
+        F.array(F.sin("id"), F.cos("id"))).alias("embedding"))
+    found = neighbours.nearest(rows, F.col("id") % 60 == 0, 5).collect()
+    assert len(found) == 100 * 5
+    by = collections.defaultdict(list)
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        by[r.query_id].append(r.vec_id)
+    assert by[0] == [3, 6, 9, 12, 15] and by[60] == [0, 3, 6, 9, 12]
