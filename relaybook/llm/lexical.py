@@ -132,33 +132,45 @@ class Lists:
 
 
 def _search(rows: DataFrame, k: int) -> DataFrame:
-    """Answers (item_no, doc_row, score) of rows that come as whole shards: list entries, then items."""
+    """Answers (item_no, doc_row, score) of rows that come as whole shards: list entries, then items.
+
+    A row of kind 0 has a term, a document and an impact; one of kind 1 an item, a term and its weight.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, parts, lists = None, [], None
+        own, parts, lists, item, asked = None, [], None, None, []
+
+        def answer() -> Iterator[pa.RecordBatch]:
+            if lists is not None and asked:
+                found = np.concatenate(asked, axis=1)
+                places, scores = lists.best(found[0].tolist(), found[1].tolist(), k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(places), item)), pa.array(lists.rows[places]), pa.array(scores)],
+                    names=["item_no", "doc_row", "score"],
+                )
+
         for batch in batches:
-            shards, kinds, number = (batch.column(c).to_numpy() for c in ("shard", "kind", "number"))
-            entries = [number, *[batch.column(c).to_numpy() for c in ("doc_row", "doc_id", "impact")]]
-            cuts = [0, *(np.flatnonzero((np.diff(shards) != 0) | (np.diff(kinds) != 0)) + 1), len(batch)]
+            shards, kinds, number, doc, doc_id, impact = (
+                batch.column(c).to_numpy() for c in ("shard", "kind", "number", "doc_row", "doc_id", "impact")
+            )
+            changed = (np.diff(shards) != 0) | (np.diff(kinds) != 0) | ((np.diff(number) != 0) & (kinds[1:] == 1))
+            cuts = [0, *(np.flatnonzero(changed) + 1), len(batch)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a == b:
                     continue
                 if shards[a] != own:
-                    own, parts, lists = shards[a], [], None
+                    yield from answer()
+                    own, parts, lists, item, asked = shards[a], [], None, None, []
                 if kinds[a] == 0:
-                    parts.append([column[a:b] for column in entries])
+                    parts.append([column[a:b] for column in (number, doc, doc_id, impact)])
                     continue
                 if lists is None and parts:
                     lists, parts = Lists(*[np.concatenate(x) for x in zip(*parts, strict=True)]), []
-                if lists is None:
-                    continue
-                for at in range(a, b):
-                    asked, weights = batch.column("terms")[at].as_py(), batch.column("weights")[at].as_py()
-                    places, scores = lists.best(asked, weights, k)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(places), number[at])), pa.array(lists.rows[places]), pa.array(scores)],
-                        names=["item_no", "doc_row", "score"],
-                    )
+                if number[a] != item:
+                    yield from answer()
+                    item, asked = number[a], []
+                asked.append(np.stack([doc[a:b], impact[a:b]]))
+        yield from answer()
 
     return map_arrow(rows, run, FOUND)
 
@@ -204,9 +216,9 @@ def ranked(
     weighted = stash(entries.groupBy("term_no").agg(
         F.floor(1000 * F.log((2.0 * (count or 0) + 2) / (2 * F.count("*") + 1))).cast("long").alias("weight")
     ), "lexical-weights")
-    questions = asked.join(vocabulary, "term").join(weighted, "term_no").groupBy("item_no").agg(
-        F.collect_list(F.struct("term_no", (F.col("weight") * F.col("tf")).alias("weight"))).alias("q")
-    ).select("item_no", F.col("q.term_no").alias("terms"), F.col("q.weight").alias("weights"))
+    questions = asked.join(vocabulary, "term").join(weighted, "term_no").select(
+        "item_no", "term_no", (F.col("weight") * F.col("tf")).alias("weight")
+    )
 
     shards = max(1, -(-held // shard_entries))
     measure = F.expr(f"75 + (25 * n * {count or 0}) div {length or 1}")
@@ -214,16 +226,16 @@ def ranked(
     lists = entries.withColumn("m", measure).select(
         F.pmod(F.xxhash64("doc_row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"),
         F.col("term_no").alias("number"), "doc_row", "doc_id", impact.alias("impact"),
-        F.lit(None).cast("array<bigint>").alias("terms"), F.lit(None).cast("array<bigint>").alias("weights"),
     )
-    zero = F.lit(0).cast("long")
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     searches = questions.select(every, "*").select(
-        "shard", F.lit(1).alias("kind"), F.col("item_no").alias("number"), zero.alias("doc_row"),
-        zero.alias("doc_id"), zero.alias("impact"), "terms", "weights",
+        "shard", F.lit(1).alias("kind"), F.col("item_no").alias("number"), F.col("term_no").alias("doc_row"),
+        F.lit(0).cast("long").alias("doc_id"), F.col("weight").alias("impact"),
+    )
+    dealt = lists.unionAll(searches).repartitionById(shards, F.col("shard")).sortWithinPartitions(
+        "shard", "kind", "number"
     )
-    dealt = lists.unionAll(searches).repartitionById(shards, F.col("shard"))
-    answers = stash(_search(dealt.sortWithinPartitions("shard", "kind"), k), "lexical-answers")
+    answers = stash(_search(dealt, k), "lexical-answers")
     # The rows that hold a document's id are few beside the answers only where answers are many.
     ids = entries.select("doc_row", "doc_id").join(
         answers.select("doc_row").distinct(), "doc_row", "left_semi"
