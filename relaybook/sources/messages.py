@@ -17,6 +17,8 @@ from relaybook.schemas import LANDED, MESSAGE
 
 # One micro-batch of a file stream reads at most this much, so a long backlog commits as it goes.
 BATCH_BYTES = 256 * 1024**3
+# And one of a Kafka stream this many messages, or the first batch would take all that a topic holds.
+BATCH_OFFSETS = 200_000_000
 
 
 def read_messages(
@@ -28,7 +30,7 @@ def read_messages(
     stream: bool = False,
     starting: str = "earliest",
     min_partitions: int | None = None,
-    batch_offsets: int | None = None,
+    batch_offsets: int | None = BATCH_OFFSETS,
     batch_bytes: int | None = BATCH_BYTES,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
