@@ -61,12 +61,11 @@ def carried(rows: DataFrame, carry: list[str] | None, *added: str) -> Column:
 
 
 def map_arrow(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` for columns of any name, whose tasks find this package if they have its folder."""
-    environment = rows.sparkSession.sparkContext.environment
-    root = str(Path(__file__).resolve().parents[2])
-    paths = environment.get("PYTHONPATH", "").split(":")
-    if root not in paths:
-        environment["PYTHONPATH"] = ":".join([*filter(None, paths), root])
+    """``mapInArrow`` for columns of any name.
+
+    Tasks import this package: from where executors have it (installed, or sent with ``--py-files``), or
+    from the driver's folder if they share it. That folder is named to the tasks of this call alone.
+    """
     made = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     names, numbered = rows.columns, rows.toDF(*[f"c{n}" for n in range(len(rows.columns))])
     places = [f"c{n}" for n in range(len(made))]
@@ -76,4 +75,16 @@ def map_arrow(rows: DataFrame, run: Callable, schema: StructType | str) -> DataF
         for batch in run(batch.rename_columns(names) for batch in batches):
             yield batch.rename_columns(places)
 
-    return numbered.mapInArrow(renamed, unnamed).toDF(*made.names)
+    environment = rows.sparkSession.sparkContext.environment
+    before = environment.get("PYTHONPATH")
+    root = str(Path(__file__).resolve().parents[2])
+    try:
+        environment["PYTHONPATH"] = ":".join([*filter(None, (before or "").split(":")), root])
+        # The function and its environment are packed here, not when the job runs.
+        mapped = numbered.mapInArrow(renamed, unnamed)
+    finally:
+        if before is None:
+            environment.pop("PYTHONPATH", None)
+        else:
+            environment["PYTHONPATH"] = before
+    return mapped.toDF(*made.names)
