@@ -18,15 +18,16 @@ from pyspark.sql import functions as F
 
 from relaybook.llm.common import map_arrow, stash
 
-#: Vectors of one shard, about; a task holds the shard and its sorted projections (2 KB a vector).
-SHARD_ROWS = 8192
-PROJECTIONS = 64
+#: Vectors of one shard, about; a task holds the shard and its sorted projections (3 KB a vector).
+SHARD_ROWS = 16_384
+PROJECTIONS = 48
 #: Half the width of a window, in radii.
 REACH = 1.0
 #: Chance that a vector within the radius collides too seldom.
-MISSED = 0.02
-#: How much the radius grows from round to round.
+MISSED = 0.05
+#: How much the radius grows from round to round, and its beginning beside the third nearest vector tried.
 GROWTH = 1.12
+BEGIN = 0.95
 #: Vectors whose distances tell where to begin; any beginning gives right results.
 TRIED = 256
 SEED = 13
@@ -69,7 +70,7 @@ class Shard:
         spare = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(1)))
         self.axes = directions(vectors.shape[1] + 1)
         projected = self.axes @ np.column_stack([scaled, spare]).T
-        self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
+        self.order = np.argsort(projected, axis=1, kind="stable")
         self.sorted = np.take_along_axis(projected, self.order, axis=1)
         self.least = threshold()
         step = max(1, len(vectors) // TRIED)
@@ -87,33 +88,43 @@ class Shard:
         length = math.sqrt((unit * unit).sum())
         unit = np.append(unit / length, 0.0)
         at = self.axes @ unit
-        collisions, seen = np.zeros(n, np.uint16), np.zeros(n, bool)
-        low = [int(np.searchsorted(row, x)) for row, x in zip(self.sorted, at, strict=True)]
+        collisions, seen = np.zeros(n, np.int64), np.zeros(n, bool)
+        low = [int(row.searchsorted(x)) for row, x in zip(self.sorted, at, strict=True)]
         high = list(low)
-        gap = ((self.tried - unit) ** 2).sum(1).min()
-        radius = max(1e-3, 0.8 * math.sqrt(gap))
+        # Not the nearest one tried, which may be the query itself or a copy of it.
+        gaps = ((self.tried - unit) ** 2).sum(1)
+        gap = np.partition(gaps, 2)[2] if len(gaps) > 2 else gaps.max()
+        radius = max(1e-3, BEGIN * math.sqrt(gap))
         places, scores = np.zeros(0, np.int64), np.zeros(0)
         while True:
-            for j, (row, order, x) in enumerate(zip(self.sorted, self.order, at, strict=True)):
-                first, last = row.searchsorted((x - radius * REACH, x + radius * REACH))
+            met = []
+            for j, (row, order, x) in enumerate(zip(self.sorted, self.order, at.tolist(), strict=True)):
+                first, last = row.searchsorted((x - radius * REACH, x + radius * REACH)).tolist()
                 if first < low[j]:
-                    collisions[order[first:low[j]]] += 1
+                    met.append(order[first:low[j]])
                     low[j] = first
                 if last > high[j]:
-                    collisions[order[high[j]:last]] += 1
+                    met.append(order[high[j]:last])
                     high[j] = last
+            if met:
+                collisions += np.bincount(np.concatenate(met), minlength=n)
             fresh = np.flatnonzero((collisions >= self.least) & ~seen)
             seen[fresh] = True
-            # One sum per row, always in the same order, so that equal vectors score alike.
             places = np.concatenate([places, fresh])
-            scores = np.concatenate([scores, (self.vectors[fresh] * query).sum(1)])
+            # Where many are to be verified, going through all in order is faster than picking them.
+            many = 4 * len(fresh) > n
+            scores = np.concatenate([scores, (self.vectors @ query)[fresh] if many else self.vectors[fresh] @ query])
             if len(places) > k:
-                best = np.lexsort((self.ids[places], -scores))[:k]
-                places, scores = places[best], scores[best]
-            if len(places) == k or seen.all():
-                worst = scores.min() / (size * length * self.scale) if len(places) else -1.0
+                # A little more than k, as these sums may differ in their last digits.
+                limit = np.partition(scores, -k)[-k] - 1e-9 * abs(scores).max()
+                near = scores >= limit
+                places, scores = places[near], scores[near]
+            if len(places) >= k or seen.all():
+                worst = np.sort(scores)[-k:].min() / (size * length * self.scale) if len(places) else -1.0
                 if seen.all() or math.sqrt(max(0.0, 2 - 2 * worst)) <= radius:
-                    best = np.lexsort((self.ids[places], -scores))
+                    # One sum per row, always in the same order, so that equal vectors score alike.
+                    scores = (self.vectors[places] * query).sum(1)
+                    best = np.lexsort((self.ids[places], -scores))[:k]
                     return places[best], scores[best]
             radius *= GROWTH
 
