@@ -110,7 +110,7 @@ def mix(
     (0 to 1) of each copy. Running sums are taken in two steps, over 4096 buckets of a source and
     inside each bucket, so a source with most of the rows is spread over all tasks.
 
-    Null texts and texts without words have size 0 and are not taken. Null sources are one source,
+    Texts are counted whole, however long. Null texts and texts without words have size 0 and are not taken. Null sources are one source,
     the last. Rows equal in id, source and text follow each other; which of them is taken twice does
     not show in the result. An empty table gives an empty one. ``carry`` names the columns of
     ``docs`` to return (default: all); texts that are not carried are not shuffled. Columns of the
@@ -177,7 +177,11 @@ def arrange(mixed: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix in training order, each as often as it is taken."""
+    """The documents of the mix in training order, each as often as it is taken.
+
+    Columns of any name are given back as they were. Equal positions are ordered by a hash of the row; the
+    other edge cases are those of ``mix``.
+    """
     names = {name: options.pop(name, name) for name in ("doc_id", "text", "source")}
     wrapped = docs.select(
         F.struct(*columns(docs)).alias("row"),

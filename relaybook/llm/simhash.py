@@ -310,8 +310,10 @@ def near_duplicates(
     Equal fingerprints are compared once, whatever the number of copies. ``tie`` is a hash of the
     text, to tell apart rows of one id.
 
-    Null and empty texts have fingerprint 0, which links like any other. A null id is never the
-    smallest; a class of null ids alone has a null ``component_id``. Rows that repeat are all kept.
+    Null and empty texts have fingerprint 0, which links like any other. Texts are read whole, however
+    long. A null id is never the smallest; a class of null ids alone has a null ``component_id``. Rows that
+    repeat are all kept; an empty table gives an empty one. Other columns, whatever their names, are not
+    read.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.col(text).alias("whole")
@@ -347,7 +349,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """One document of each class, with its own columns: the one with the smallest id.
 
     Of rows with that id, the one with the smallest hash of its text stays; so it is in a class of
-    null ids alone, which keeps one row as well. Classes that share an id keep one row each.
+    null ids alone, which keeps one row as well. Classes that share an id keep one row each. Of rows equal
+    in id and text, the one whose other columns have the smallest hash stays, so reruns agree. Columns of
+    any name are given back as they were; an empty table gives an empty one.
     """
     found = stash(near_duplicates(docs, doc_id, text, **options), "simhash-found")
     chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -364,6 +368,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
         keys, whole.own_id.eqNullSafe(keys.chosen_id) & (whole.own_tie == keys.chosen_tie), "left_semi"
     )
     if repeated:
-        kept = kept.dropDuplicates(["own_id", "own_tie"])
+        order = F.struct(F.xxhash64(F.to_json("row")), F.to_json("row"))
+        kept = kept.groupBy("own_id", "own_tie").agg(F.min_by("row", order).alias("row"))
     return kept.select("row.*")
 

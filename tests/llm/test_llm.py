@@ -187,6 +187,14 @@ def test_classes_that_share_an_id_keep_one_row_each(spark):
     assert kept == [(0, begin), (0, other), (3, f"{begin} {other}")]
 
 
+def test_rows_that_differ_in_other_columns_only(spark):
+    """Which of them stays does not depend on their order."""
+    rows = [(1, "some words of a text that repeats", n) for n in range(20)] + [(2, "another text", 5)]
+    kept = [simhash.one_of_each(spark.createDataFrame(found, "doc_id long, text string, n int")).collect()
+            for found in (rows, rows[::-1], rows[7:] + rows[:7])]
+    assert all(len(found) == 2 for found in kept) and len({str(sorted(map(tuple, found))) for found in kept}) == 1
+
+
 def test_null_ids_keep_one_row_of_a_class(spark):
     begin = " ".join(f"w{n}" for n in range(2000))
     texts = [f"{begin} end{n}" for n in range(20)]
